@@ -8,13 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def labelled(value: Column, steps: Sequence[tuple[float, str]], rest: str, closed: bool = True) -> Column:
+def labelled(value: Column, steps: Sequence[tuple[float, object]], rest: object, closed: bool = True) -> Column:
     """Label of the first step whose upper bound holds ``value`` (<= when closed, else <)."""
     picked = None
     for bound, label in steps:
         hit = value <= F.lit(bound) if closed else value < F.lit(bound)
-        picked = F.when(hit, label) if picked is None else picked.when(hit, label)
-    return picked.otherwise(rest)
+        picked = F.when(hit, F.lit(label)) if picked is None else picked.when(hit, F.lit(label))
+    return picked.otherwise(F.lit(rest))
 
 
 def price_category(price: Column) -> Column:
@@ -40,7 +40,7 @@ def normalized_price(price: Column, scale: float = 10.0) -> Column:
 def discounted_price(price: Column, premium: Column) -> Column:
     """Tiered discount (15 % above 5, 10 % above 2, 5 % above 1) plus 5 points for premium publishers."""
     paid = F.nvl(price, F.lit(0.0))
-    tier = labelled(paid, [(1.0, "0.0"), (2.0, "0.05"), (5.0, "0.10")], "0.15").cast("double")
+    tier = labelled(paid, [(1.0, 0.0), (2.0, 0.05), (5.0, 0.10)], 0.15)
     bonus = premium.cast("int") * F.lit(0.05)
     return paid * (F.lit(1) - (tier + F.nvl(bonus, F.lit(0.0))))
 

@@ -6,59 +6,45 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed formats of the session logs.
-LOCAL_SHAPE = r"^\d{2}\.\d{2}\.\d{4}_\d{2}:\d{2}:\d{2}$"
-ZONED_SHAPE = r"^([A-Z][a-z]{2}),_(\d{1,2})_([A-Z][a-z]{2})_(\d{4})_(\d{2}):(\d{2}):(\d{2})_([+-])(\d{2})(\d{2})$"
-MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
-
-
-def _clamped(year: Column, month: Column, day: Column, hour: Column, minute: Column, second: Column) -> Column:
-    """A UTC timestamp; days 29 to 31 fall back to the month's last day, other bad parts give null."""
-    safe_month = F.when(month.between(1, 12), month)
-    month_end = F.day(F.last_day(F.make_date(F.when(year >= 1, year), safe_month, F.lit(1))))
-    safe_day = F.when(day.between(1, 31), F.least(day, month_end))
-    in_clock = hour.between(0, 23) & minute.between(0, 59) & second.between(0, 59)
-    return F.when(
-        in_clock & safe_day.isNotNull(),
-        F.try_make_timestamp(year, safe_month, safe_day, hour, minute, second.cast("decimal(16,6)"), F.lit("UTC")),
+LOCAL_SHAPE = r"^\d{2}\.\d{2}\.(?!0000)\d{4}_\d{2}:\d{2}:\d{2}$"
+LOCAL_FORMAT = "dd.MM.yyyy_HH:mm:ss"
+ZONED_SHAPE = (
+    r"^([A-Z][a-z]{2}),_(\d{1,2}_[A-Z][a-z]{2}_(?!0000)\d{4}_\d{2}:\d{2}:\d{2})"
+    r"_([+-])(0\d|1[0-7]|18(?=00))([0-5]\d)$"
+)
+ZONED_FORMAT = "d_MMM_yyyy_HH:mm:ss"
+
+
+def _day_first(token: Column, pattern: str) -> Column:
+    """Parse a time that starts with the day; days 29 to 31 fall back to the month's last day."""
+    rest = F.regexp_extract(token, r"^\d+(.*)$", 1)
+    month_end = F.date_format(F.last_day(F.try_to_timestamp(F.concat(F.lit("01"), rest), F.lit(pattern))), "dd")
+    clamped = F.when(
+        token.rlike(r"^(29|30|31)\D"), F.try_to_timestamp(F.concat(month_end, rest), F.lit(pattern))
     )
+    return F.coalesce(F.try_to_timestamp(token, F.lit(pattern)), clamped)
 
 
-def _digits(token: Column, start: int, length: int) -> Column:
-    return F.substring(token, start, length).try_cast("int")
+def parse_local(token: Column) -> Column:
+    """``dd.MM.yyyy_HH:mm:ss`` read as UTC, null when it is anything else."""
+    return F.when(token.rlike(LOCAL_SHAPE), _day_first(token, LOCAL_FORMAT))
 
 
-def _local(token: Column) -> Column:
-    return F.when(
-        token.rlike(LOCAL_SHAPE),
-        _clamped(
-            _digits(token, 7, 4), _digits(token, 4, 2), _digits(token, 1, 2),
-            _digits(token, 12, 2), _digits(token, 15, 2), _digits(token, 18, 2),
-        ),
-    )
-
-
-def _zoned(token: Column) -> Column:
-    def part(group: int) -> Column:
-        return F.regexp_extract(token, ZONED_SHAPE, group)
-
-    month = F.array_position(F.array(*[F.lit(name) for name in MONTHS]), part(3)).cast("int")
-    local = _clamped(
-        part(4).try_cast("int"), month, part(2).try_cast("int"),
-        part(5).try_cast("int"), part(6).try_cast("int"), part(7).try_cast("int"),
-    )
-    offset_minutes = part(9).try_cast("int") * 60 + part(10).try_cast("int")
-    signed = F.when(part(8) == "-", -offset_minutes).otherwise(offset_minutes)
-    valid_offset = (part(10).try_cast("int") <= 59) & (offset_minutes <= 18 * 60)
-    weekday_agrees = F.date_format(local, "E") == part(1)
+def parse_zoned(token: Column) -> Column:
+    """``EEE,_d_MMM_yyyy_HH:mm:ss_Z``; a weekday that contradicts the date gives null."""
+    local = _day_first(F.regexp_extract(token, ZONED_SHAPE, 2), ZONED_FORMAT)
+    sign = F.regexp_extract(token, ZONED_SHAPE, 3)
+    hours = F.concat(sign, F.regexp_extract(token, ZONED_SHAPE, 4)).try_cast("int")
+    minutes = F.concat(sign, F.regexp_extract(token, ZONED_SHAPE, 5)).try_cast("int")
     return F.when(
-        token.rlike(ZONED_SHAPE) & valid_offset & weekday_agrees,
-        F.timestamp_micros(F.unix_micros(local) - signed.cast("bigint") * F.lit(60_000_000)),
+        token.rlike(ZONED_SHAPE) & (F.date_format(local, "E") == F.regexp_extract(token, ZONED_SHAPE, 1)),
+        F.timestamp_seconds(F.unix_seconds(local) - (hours * 3600 + minutes * 60)),
     )
 
 
 def parse_time(token: Column) -> Column:
-    """``dd.MM.yyyy_HH:mm:ss`` in UTC, else the mail-header form with an offset, else null."""
-    return F.coalesce(_local(token), _zoned(token))
+    """The local form, else the form with an offset, else null."""
+    return F.coalesce(parse_local(token), parse_zoned(token))
 
 
 def epoch_us(ts: Column) -> Column:
