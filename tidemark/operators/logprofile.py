@@ -44,7 +44,8 @@ def profile_gaps(lines: DataFrame, limit_s: int = 3600, bucket_lines: int | None
     previous = Carry("previous", "max", F.struct("line_no", "ts_us"), "before")
     gaps = running(timed, ["session_id"], ["line_no"], [previous], bucket)
     seconds = F.greatest(((F.col("ts_us") - F.col("previous.ts_us")) / 1_000_000).cast("bigint"), F.lit(0))
-    return gaps.select("session_id", "line_no", seconds.alias("gap_s")).filter(F.col("gap_s") < limit_s)
+    paired = gaps.filter(F.col("previous").isNotNull())
+    return paired.select("session_id", "line_no", seconds.alias("gap_s")).filter(F.col("gap_s") < limit_s)
 
 
 def profile_docs(lines: DataFrame, n: int = 5000) -> DataFrame:
