@@ -144,12 +144,12 @@ def impressions(lineitem: DataFrame) -> DataFrame:
         F.concat_ws("_", F.lit("tx"), "l_orderkey", "l_linenumber").alias("transaction_id"),
         F.concat(F.lit("pub_"), F.col("l_suppkey").cast("string")).alias("publisher_id"),
         (F.col("l_partkey") % 25).cast("int").alias("geo_id"),
-        F.round(F.col("l_discount") * 100, 2).alias("bid_price"),
+        F.when(F.col("l_linenumber") < 7, F.round(F.col("l_discount") * 100, 2)).alias("bid_price"),
         epoch_us(F.col("l_shipdate")).alias("timestamp"),
         agent.alias("user_agent"),
         address.alias("ip_address"),
         F.format_string('{"floor_price":%d,"ad_size":"300x250"}', "l_linenumber").alias("bid_request"),
-        F.round(F.col("l_extendedprice") / 1000, 4).alias("price"),
+        (F.col("l_extendedprice") / 1000).alias("price"),
     )
 
 

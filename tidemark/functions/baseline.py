@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 
-@F.udf("string")
+@F.udf(StringType())
 def bid_category_rowwise(price):
     if price is None:
         return "unknown"
@@ -15,7 +16,7 @@ def bid_category_rowwise(price):
     return "low" if price < 2.0 else "medium" if price < 5.0 else "high"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def bid_category_arrow(price: pd.Series) -> pd.Series:
     named = pd.Series("high", index=price.index, dtype=object)
     named[price < 5.0] = "medium"
@@ -25,11 +26,11 @@ def bid_category_arrow(price: pd.Series) -> pd.Series:
     return named
 
 
-@F.udf("double")
+@F.udf(DoubleType())
 def normalized_price_rowwise(price):
     return (0.0 if price is None else price) / 10.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normalized_price_arrow(price: pd.Series) -> pd.Series:
     return price.fillna(0.0) / 10.0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,7 +59,7 @@ def salted_agg(df: DataFrame, keys: Sequence[str], value: str, salts: int) -> Da
 
 def pivot_count(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
     """Rows per (row, column value), one output column per listed value; absent pairs are 0."""
-    pivoted = df.groupBy(row).pivot(column, list(values)).agg(F.count("*"))
+    pivoted = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
     return pivoted.na.fill(0, [str(v) for v in values])
 
 
@@ -69,6 +70,34 @@ def unpivot_mean(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> D
     return long.groupBy(*ids).agg(F.avg("score").alias("score"), F.count("score").alias("answers"))
 
 
+def fewer_partitions(df: DataFrame, kept: float) -> DataFrame:
+    """Merge neighbouring partitions after a filter that keeps about the fraction ``kept`` of the rows.
+
+    The count follows the input instead of being fixed, so the merged tasks stay as large as the unfiltered ones.
+    """
+    return df.coalesce(max(1, math.ceil(df.rdd.getNumPartitions() * kept)))
+
+
+def rebalanced(df: DataFrame) -> DataFrame:
+    """Shuffle into evenly sized partitions; adaptive execution picks their number from the data size."""
+    return df.hint("rebalance")
+
+
+def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
+    return df.select(*keys).distinct()
+
+
+def approx_distinct(df: DataFrame, keys: Sequence[str], value: str, rsd: float = 0.05) -> DataFrame:
+    """Distinct values per key from a fixed-size sketch."""
+    return df.groupBy(*keys).agg(F.approx_count_distinct(value, rsd).alias("approx"))
+
+
+def frequent_values(df: DataFrame, value: str, k: int, tracked: int = 10_000) -> DataFrame:
+    """The about k most frequent values with approximate counts, from a sketch of ``tracked`` counters."""
+    sketched = df.agg(F.expr(f"approx_top_k(`{value}`, {k}, {tracked})").alias("top"))
+    return sketched.select(F.inline("top")).toDF("value", "cnt")
+
+
 def with_surrogate_id(df: DataFrame, name: str = "surrogate_id") -> DataFrame:
     """A unique, not dense, id without a shuffle."""
     return df.withColumn(name, F.monotonically_increasing_id())

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Options that keep text with quotes and line breaks intact in both directions.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "emptyValue": '""'}
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_table(
@@ -22,6 +29,26 @@ def read_table(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
+def scan_statistics(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet scan that answers MIN, MAX and COUNT from file footers.
+
+    Only the newer reader pushes aggregates down; the setting that picks it is read when the scan is resolved.
+    """
+    key = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ",".join(name for name in before.split(",") if name != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+
+
+def read_whole_texts(spark: SparkSession, path: str) -> DataFrame:
+    """One row per text file with its number of characters."""
+    texts = spark.read.option("wholetext", "true").text(path)
+    return texts.select(F.col("_metadata.file_name").alias("file"), F.length("value").alias("n_chars"))
+
+
 def write_table(
     df: DataFrame,
     path: str,
