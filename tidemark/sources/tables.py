@@ -45,7 +45,7 @@ def scan_statistics(spark: SparkSession, path: str) -> DataFrame:
 
 def read_whole_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row per text file with its number of characters."""
-    texts = spark.read.option("wholetext", "true").text(path)
+    texts = spark.read.text(path, wholetext=True)
     return texts.select(F.col("_metadata.file_name").alias("file"), F.length("value").alias("n_chars"))
 
 

@@ -29,15 +29,15 @@ def sliding(stream: DataFrame, ts: str, keys: Sequence[str], size: str, slide: s
     return counted.select(F.col("window.start").alias("window_start"), *keys, "n")
 
 
-def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, shards: int = 8) -> DataFrame:
+def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str, shards: int = 64) -> DataFrame:
     """Drop repeats of a key that arrive within the delay.
 
     Stateful operators do not combine before their shuffle, so a key repeated without end would fill one task.
-    A first pass drops repeats per (key, shard), a second one per key over what is left.
+    A first pass drops repeats per (key, shard), a second one per key over what is left; shards follow the input splits.
     """
     timed = with_event_time(stream, ts, delay)
     if shards > 1:
-        spread = timed.withColumn("__shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)))
+        spread = timed.withColumn("__shard", F.pmod(F.spark_partition_id(), F.lit(shards)))
         timed = spread.dropDuplicatesWithinWatermark([*keys, "__shard"]).drop("__shard")
     return timed.dropDuplicatesWithinWatermark(list(keys))
 
