@@ -17,6 +17,11 @@ def small_number() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
+def _text(*parts: str | Column) -> Column:
+    """Parts joined to one text; null when any part is null."""
+    return F.concat(*[F.lit(part) if isinstance(part, str) else part.cast("string") for part in parts])
+
+
 # ---------------------------------------------------------------- session logs
 
 BLOCK = 8  # line numbers reserved for one event
@@ -34,34 +39,33 @@ def _log_time(ts: Column) -> Column:
 def event_blocks(events: DataFrame) -> DataFrame:
     """One text chunk of log lines per event: ``session_id, line_base, content``."""
     k = F.col("k")
-    text = k.cast("string")
     small = (k % 7).cast("string")
     shifted = F.col("ts") + F.expr("INTERVAL 3 HOURS")
     when = F.when(
         F.col("event_id") % 7 == 0,
         F.concat(F.date_format(shifted, "EEE,_d_MMM_yyyy_HH:mm:ss"), F.lit("_+0300")),
     ).otherwise(_log_time(F.col("ts")))
-    query = F.format_string("QS %s {q%d}", F.col("stamp"), k % 20)
-    answer = F.format_string("%d LAW_%d LAW_%d", k % 7, k, (k + 1) % 100)
+    query = _text("QS ", F.col("stamp"), " {q", k % 20, "}")
+    answer = _text(small, " LAW_", k, " LAW_", (k + 1) % 100)
     card_id = F.when(k % 2 == 0, small).otherwise(F.concat(F.lit("-"), small))
-    card = F.format_string(
-        "CARD_SEARCH_START %s\n$%d v%d\n$%d  w  x \nCARD_SEARCH_END \n%s ACC_%d ACC_%d",
-        F.col("stamp"), k, k, k + 1, card_id, k % 10, k % 10,
+    card = _text(
+        "CARD_SEARCH_START ", F.col("stamp"), "\n$", k, " v", k, "\n$", k + 1, "  w  x \nCARD_SEARCH_END \n",
+        card_id, " ACC_", k % 10, " ACC_", k % 10,
     )
     open_id = F.when(k % 3 == 0, F.concat(F.lit("-"), small)).otherwise(small)
     stray = (
         F.when(k % 4 == 0, F.lit("CARD_SEARCH_END"))
         .when(k % 4 == 1, F.lit("QS 99.99.2024_10:00:00 {x}"))
-        .when(k % 4 == 2, F.concat(F.lit("junk "), text))
-        .otherwise(F.format_string("$%d stray", k))
+        .when(k % 4 == 2, _text("junk ", k))
+        .otherwise(_text("$", k, " stray"))
     )
     kind = F.col("event_type")
     content = (
         F.when((kind == "signup") & (F.col("event_id") % 11 == 0), query)
-        .when(kind == "signup", F.concat(query, F.lit("\n"), answer))
+        .when(kind == "signup", _text(query, "\n", answer))
         .when(kind == "error", card)
-        .when(kind == "view", F.format_string("DOC_OPEN %s %s LAW_%d", F.col("stamp"), open_id, k))
-        .when(kind == "click", F.format_string("DOC_OPEN  %s LAW_%d", small, k))
+        .when(kind == "view", _text("DOC_OPEN ", F.col("stamp"), " ", open_id, " LAW_", k))
+        .when(kind == "click", _text("DOC_OPEN  ", small, " LAW_", k))
         .otherwise(stray)
     )
     keyed = events.withColumns({"k": small_number(), "stamp": when})
@@ -148,7 +152,7 @@ def impressions(lineitem: DataFrame) -> DataFrame:
         epoch_us(F.col("l_shipdate")).alias("timestamp"),
         agent.alias("user_agent"),
         address.alias("ip_address"),
-        F.format_string('{"floor_price":%d,"ad_size":"300x250"}', "l_linenumber").alias("bid_request"),
+        _text('{"floor_price":', F.col("l_linenumber"), ',"ad_size":"300x250"}').alias("bid_request"),
         (F.col("l_extendedprice") / 1000).alias("price"),
     )
 

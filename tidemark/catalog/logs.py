@@ -201,7 +201,7 @@ def log_timestamps(spark, sf_dir):
     "search_id, search_kind, query_text, doc_id FROM bronze",
 )
 def parse_all(spark, sf_dir):
-    parsed = parse_sessions(chunks(spark, sf_dir))
+    parsed = parse_sessions(chunks(spark, sf_dir), bucket_lines=1 << 16)
     return parsed.drop("card_params", "result_doc_ids", "parse_error", "raw_line")
 
 

@@ -150,5 +150,6 @@ def stream_click_state(spark, sf_dir):
     def write(rows, batch):
         rows.write.mode("overwrite").parquet(f"{target}/batch={batch}")
 
-    jobs.start_batches(state, write, new_folder(spark, "click-state-log"), mode="update").awaitTermination()
+    log = new_folder(spark, "click-state-log")
+    jobs.start_batches(state, write, log, mode="update", every=jobs.ONE_BATCH).awaitTermination()
     return fold_click_state(spark.read.parquet(target))

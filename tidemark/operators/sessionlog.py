@@ -184,7 +184,7 @@ def events_from_lines(lines: DataFrame, bucket_lines: int | None, stage: Stage)
     )
 
 
-def parse_sessions(chunks: DataFrame, bucket_lines: int | None = 1 << 16, stage: Stage = written) -> DataFrame:
+def parse_sessions(chunks: DataFrame, bucket_lines: int | None = 1 << 20, stage: Stage = written) -> DataFrame:
     """Session text to event rows.
 
     ``bucket_lines`` splits long sessions into runs of that many line numbers. Pass None when each session is

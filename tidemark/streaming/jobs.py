@@ -20,9 +20,20 @@ from tidemark.sources.sessions import decode_sessions
 from tidemark.streaming.sources import stream_session_files
 
 
+ONE_BATCH = "one batch"
+
+
 def _start(writer, every: str | None) -> StreamingQuery:
-    trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return writer.trigger(**trigger).start()
+    """Run over what is there (None), over it in a single batch (ONE_BATCH), or on an interval.
+
+    State with a processing-time limit asks for another batch after each batch, so a finite run over it needs
+    ONE_BATCH.
+    """
+    if every is None:
+        return writer.trigger(availableNow=True).start()
+    if every == ONE_BATCH:
+        return writer.trigger(once=True).start()
+    return writer.trigger(processingTime=every).start()
 
 
 def start_table_sink(
