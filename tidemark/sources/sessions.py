@@ -18,7 +18,10 @@ def decode_sessions(files: DataFrame, charset: str = "cp1251") -> DataFrame:
 
 
 def list_sessions(spark: SparkSession, path: str) -> DataFrame:
-    """File names and sizes only; the unread content column is pruned from the scan."""
+    """File names and sizes only; the unread content column is pruned from the scan.
+
+    Empty files have no events and the file source shows no row for them.
+    """
     return _files(spark, path).select("path", "length", "modificationTime")
 
 
