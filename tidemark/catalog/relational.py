@@ -268,7 +268,9 @@ FROM imp LEFT JOIN supplier ON publisher_id = 'pub_' || s_suppkey GROUP BY 1""",
 )
 def lookup_category(spark, sf_dir):
     categories = publisher_categories(table(spark, sf_dir, "supplier"))
-    joined = joins.join_on(imp(spark, sf_dir), categories, ["publisher_id"], how="left", strategy="broadcast")
+    joined = joins.join_on(
+        imp(spark, sf_dir), categories, ["publisher_id"], how="left", strategy="broadcast", salts=16
+    )
     return joined.groupBy("category").agg(F.count("*").alias("cnt"))
 
 
@@ -290,7 +292,8 @@ def anti_new_keys(spark, sf_dir):
 def semi_known_keys(spark, sf_dir):
     returned = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
     known = returned.select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").join(known, "o_orderkey", "left_semi")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return joins.keys_present(orders, known, ["o_orderkey"])
 
 
 # ---------------------------------------------------------------- aggregates

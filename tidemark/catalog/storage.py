@@ -22,15 +22,16 @@ from tidemark.sources.tables import (
     write_table,
 )
 
-LINES_PER_FILE = 20_000
-ROWS_PER_TEXT_FILE = "200000"  # a multi-line CSV file is read by one task, so files stay small
+BLOCKS_PER_FILE = 20_000
+TEXTS_PER_FILE = 2_000  # a whole text file is one row
+ROWS_PER_TEXT_FILE = "50000"  # a multi-line CSV file is read by one task, so files stay small
 
 
 def write_session_files(spark, sf_dir):
     """Log text as plain files of bounded size; returns the folder."""
     folder = new_folder(spark, "session-files")
     blocks = event_blocks(table(spark, sf_dir, "events")).select("content")
-    blocks.write.option("maxRecordsPerFile", LINES_PER_FILE).text(folder)
+    blocks.write.option("maxRecordsPerFile", BLOCKS_PER_FILE).text(folder)
     return folder
 
 
@@ -56,7 +57,7 @@ def src_session_files(spark, sf_dir):
 @query("text_char_count", "SELECT CAST(sum(length(text) + 1) AS BIGINT) AS n_chars FROM documents")
 def text_char_count(spark, sf_dir):
     folder = new_folder(spark, "texts")
-    docs(spark, sf_dir).select("prompt").write.option("maxRecordsPerFile", LINES_PER_FILE).text(folder)
+    docs(spark, sf_dir).select("prompt").write.option("maxRecordsPerFile", TEXTS_PER_FILE).text(folder)
     return read_whole_texts(spark, folder).agg(F.sum("n_chars").alias("n_chars"))
 
 

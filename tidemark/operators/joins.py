@@ -34,15 +34,17 @@ def join_on(
 ) -> DataFrame:
     """Join with an optional strategy: broadcast, merge or shuffle_hash.
 
-    "broadcast" holds only while the right side's estimated size is under the limit; otherwise the join is left
-    to the optimizer, which shuffles. ``salts`` > 1 spreads each key of the left side over that many tasks and
+    "broadcast" holds only while the right side's estimated size is under the limit; otherwise the join shuffles,
+    salted if asked. ``salts`` > 1 spreads each key of the left side over that many tasks and
     copies the right side's rows to each of them; the right side must be the smaller one. Salts follow the row
     position, so identical rows spread too; read the left side from a stored table, whose row order a retried
     task sees again.
     """
     keys = list(on)
     if strategy == "broadcast":
-        return left.join(F.broadcast(right) if is_small(right, broadcast_limit) else right, keys, how)
+        if is_small(right, broadcast_limit):
+            return left.join(F.broadcast(right), keys, how)
+        strategy = None
     hinted = right if strategy is None else right.hint(strategy)
     if salts <= 1:
         return left.join(hinted, keys, how)
@@ -56,5 +58,13 @@ def join_on(
 
 
 def keys_absent(left: DataFrame, known: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key does not occur in ``known``."""
-    return left.join(known.select(*on), list(on), "left_anti")
+    """Rows of ``left`` whose key does not occur in ``known``.
+
+    Known keys are reduced to one each first, so a key that ``known`` repeats without end costs one row.
+    """
+    return left.join(known.select(*on).distinct(), list(on), "left_anti")
+
+
+def keys_present(left: DataFrame, known: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose key occurs in ``known``; known keys are reduced to one each first."""
+    return left.join(known.select(*on).distinct(), list(on), "left_semi")

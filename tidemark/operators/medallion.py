@@ -79,7 +79,7 @@ def write_upsert(path: str, delta: DataFrame, keys: Sequence[str], partition: st
     spark = delta.sparkSession
     staged = written(delta, "delta")
     target = spark.read.schema(delta.schema).parquet(path)
-    touched = staged.select(partition).distinct()
+    touched = F.broadcast(staged.select(partition).distinct())  # at most one row per partition directory
     merged = written(upsert(target.join(touched, partition, "left_semi"), staged, keys), "merged")
     (
         merged.hint("rebalance", partition)

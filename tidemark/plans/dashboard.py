@@ -54,7 +54,7 @@ def topk_series(mart: DataFrame, k: int = 3) -> DataFrame:
     """Daily series of the k most opened documents."""
     best = mart.groupBy("doc_id").agg(F.sum("opens").alias("total")).orderBy(F.desc("total"), "doc_id").limit(k)
     return (
-        mart.join(best.select("doc_id"), "doc_id", "left_semi")
+        mart.join(F.broadcast(best.select("doc_id")), "doc_id", "left_semi")  # k rows
         .select("open_date", "doc_id", "opens")
         .orderBy("open_date", "doc_id")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.lineage import written
+from tidemark.operators.joins import keys_absent
 from tidemark.operators.sessionlog import parse_files
 from tidemark.schemas import LEDGER
 from tidemark.sources.sessions import list_sessions, read_sessions
@@ -16,8 +17,7 @@ from tidemark.sources.tables import write_by, write_table
 
 def new_files(files: DataFrame, ledger: DataFrame, cap: int = 5000) -> DataFrame:
     """The first ``cap`` paths that the ledger does not know. The ledger grows, so it is joined, not broadcast."""
-    fresh = files.select("path").join(ledger.select("path"), "path", "left_anti")
-    return fresh.orderBy("path").limit(cap)
+    return keys_absent(files.select("path"), ledger, ["path"]).orderBy("path").limit(cap)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

@@ -15,11 +15,17 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings (UTC clock, adaptive execution) to an existing session."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        # Adaptive execution merges small shuffle partitions but never splits the initial ones for a plain shuffle.
+        spark.conf.set(INITIAL_PARTITIONS, str(max(200, 4 * context.defaultParallelism)))
     return spark
 
 

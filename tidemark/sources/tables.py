@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.times import day_key, month_key
+
 # Options that keep text with quotes and line breaks intact in both directions.
 CSV_OPTIONS = {
     "header": "true",
@@ -125,8 +127,8 @@ def create_table(
 
 def write_export(df: DataFrame, path: str, date_column: str, grain: str = "day") -> None:
     """Replace the export under ``path``: one directory per day or month; rows without a date stay out."""
-    pattern = {"day": "yyyyMMdd", "month": "yyyyMM"}[grain]
-    dated = df.filter(F.col(date_column).isNotNull()).withColumn("part", F.date_format(date_column, pattern))
+    key = {"day": day_key, "month": month_key}[grain]
+    dated = df.filter(F.col(date_column).isNotNull()).withColumn("part", key(F.col(date_column)))
     dated.hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         "part"
     ).parquet(path)
