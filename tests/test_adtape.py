@@ -94,7 +94,7 @@ def test_scan_equals_windows_on_a_hot_device(spark, partitions):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
-        a = by_id(A.attribute(judged, grain_us=H), "attributed_us", "source")
+        a = by_id(A.attribute(judged, grain_us=H, hot_rows=300), "attributed_us", "source")
         b = by_id(A.attribute_scan(judged, grain_us=H), "attributed_us", "source")
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

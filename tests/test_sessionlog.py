@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import parse_time
-from tidemark.lineage import unwritten
+from tidemark.lineage import unwritten, written
 from tidemark.operators.sessionlog import parse_files, parse_sessions, with_json_columns
 from tidemark.sources.sessions import read_sessions
 
@@ -213,14 +213,14 @@ def random_log(rng):
     return "\n".join(lines)
 
 
-@pytest.mark.parametrize("bucket", [None, 1, 5, 1000])
-def test_random_logs(spark, bucket):
+@pytest.mark.parametrize("bucket,hot", [(None, 0), (1, 0), (5, 12), (1000, 0), (1000, 10**6)])
+def test_random_logs(spark, bucket, hot):
     rng = random.Random(11)
     logs = {f"s{i}": random_log(rng) for i in range(250)}
     chunks = spark.createDataFrame(list(logs.items()), "session_id string, content string")
-    kwargs = {} if bucket is not None else {"stage": unwritten}
+    stage = unwritten if bucket is None else written
     got = {name: [] for name in logs}
-    for row in parse_sessions(chunks, bucket, **kwargs).orderBy("session_id", "event_seq").collect():
+    for row in parse_sessions(chunks, bucket, hot, stage).orderBy("session_id", "event_seq").collect():
         assert row.event_seq == len(got[row.session_id])
         got[row.session_id].append(
             (*[row[name] for name in FIELDS], tuple((p.param_id, p.value) for p in row.card_params), tuple(row.result_doc_ids))
@@ -234,4 +234,4 @@ def test_chunks_of_one_session_join_up(spark):
     parts = spark.createDataFrame(
         [("s", i * 10, line) for i, line in enumerate(text.split("\n"))], "session_id string, line_base bigint, content string"
     )
-    assert parse_sessions(parts, 1).collect() == parse_sessions(whole, None).orderBy("event_seq").collect()
+    assert parse_sessions(parts, 1, 0).orderBy("event_seq").collect() == parse_sessions(whole, None).orderBy("event_seq").collect()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import epoch_us, parse_local
-from tidemark.operators.scan import Carry, line_bucket, running
+from tidemark.operators.scan import Carry, by_line, running
 
 
 def _profile_kind() -> Column:
@@ -33,16 +33,15 @@ def profile_kinds(lines: DataFrame) -> DataFrame:
     return counts.withColumn("share", F.col("n") / total)
 
 
-def profile_gaps(lines: DataFrame, limit_s: int = 3600, bucket_lines: int | None = 1 << 16) -> DataFrame:
+def profile_gaps(lines: DataFrame, limit_s: int = 3600, bucket_lines: int | None = 1 << 20) -> DataFrame:
     """Seconds between neighbouring timed lines of a session, at least 0; long pauses are left out."""
     timed = (
         lines.select("session_id", "line_no", F.get(F.split("line", r"\s+"), F.lit(1)).alias("token"))
         .select("session_id", "line_no", epoch_us(parse_local(F.col("token"))).alias("ts_us"))
         .filter(F.col("ts_us").isNotNull())
     )
-    bucket = None if bucket_lines is None else line_bucket(F.col("line_no"), bucket_lines)
     previous = Carry("previous", "max", F.struct("line_no", "ts_us"), "before")
-    gaps = running(timed, ["session_id"], ["line_no"], [previous], bucket)
+    gaps = running(timed, ["session_id"], ["line_no"], [previous], by_line(F.col("line_no"), bucket_lines))
     seconds = F.greatest(((F.col("ts_us") - F.col("previous.ts_us")) / 1_000_000).cast("bigint"), F.lit(0))
     paired = gaps.filter(F.col("previous").isNotNull())
     return paired.select("session_id", "line_no", seconds.alias("gap_s")).filter(F.col("gap_s") < limit_s)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.lineage import written
 from tidemark.operators.loglines import BAD_TIME, UNKNOWN, classify, to_lines
-from tidemark.operators.scan import Carry, line_bucket, running
+from tidemark.operators.scan import HOT_ROWS, Carry, by_line, running
 
 HEADERS = ("SESSION_START", "SESSION_END", "QS", "CARD_START")
 BODY = ("CARD_END", "PARAM", "RESULTS")
@@ -34,19 +34,18 @@ _NO_DOCS = "cast(array() as array<string>)"
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
-def segment(lines: DataFrame, bucket_lines: int | None) -> DataFrame:
+def segment(lines: DataFrame, bucket_lines: int | None, hot_lines: int = HOT_ROWS) -> DataFrame:
     """Give every body line its header, the line that closes the card form and the accepted result line.
 
     Segments with nothing pending need no such lookup, so each of their lines is a segment of its own.
     """
     header = F.when(F.col("kind").isin(*HEADERS), F.struct("line_no", "kind", "time", "query"))
-    bucket = None if bucket_lines is None else line_bucket(F.col("line_no"), bucket_lines)
     headed = running(
         lines.filter(F.col("kind").isin(*HEADERS, *BODY)),
         ["session_id"],
         ["line_no"],
         [Carry("header", "max", header)],
-        bucket,
+        by_line(F.col("line_no"), bucket_lines, hot_lines),
     ).filter(F.col("kind").isin(*BODY))
     pending = F.col("header.kind")
     line_no, kind = F.col("line_no"), F.col("kind")
@@ -141,16 +140,16 @@ def emit(lines: DataFrame, segmented: DataFrame) -> DataFrame:
     return direct.unionByName(single).unionByName(cards)
 
 
-def number(emitted: DataFrame, bucket_lines: int | None) -> DataFrame:
+def number(emitted: DataFrame, bucket_lines: int | None, hot_lines: int = HOT_ROWS) -> DataFrame:
     """Sequence number, time of untimed opens, and the kind of search each open came from."""
-    bucket = None if bucket_lines is None else line_bucket(F.col("line_no"), bucket_lines)
+    split = by_line(F.col("line_no"), bucket_lines, hot_lines)
     is_search = F.col("event_type").isin("QS", "CARD_SEARCH")
     matched = running(
         emitted,
         ["session_id", "search_id"],
         ["line_no"],
         [Carry("searched", "max", F.when(is_search, F.struct("line_no", "search_kind")))],
-        bucket,
+        split,
     )
     clocked = running(
         matched,
@@ -160,7 +159,7 @@ def number(emitted: DataFrame, bucket_lines: int | None) -> DataFrame:
             Carry("seen", "sum", F.lit(1).cast("bigint")),
             Carry("clock", "max", F.when(F.col("event_time").isNotNull(), F.struct("line_no", "event_time"))),
         ],
-        bucket,
+        split,
     )
     is_open = F.col("event_type") == "DOC_OPEN"
     return clocked.withColumns(
@@ -172,10 +171,10 @@ def number(emitted: DataFrame, bucket_lines: int | None) -> DataFrame:
     )
 
 
-def events_from_lines(lines: DataFrame, bucket_lines: int | None, stage: Stage) -> DataFrame:
+def events_from_lines(lines: DataFrame, bucket_lines: int | None, hot_lines: int, stage: Stage) -> DataFrame:
     staged = stage(classify(lines), "lines")
-    emitted = stage(emit(staged, segment(staged, bucket_lines)), "emitted")
-    return number(emitted, bucket_lines).select(
+    emitted = stage(emit(staged, segment(staged, bucket_lines, hot_lines)), "emitted")
+    return number(emitted, bucket_lines, hot_lines).select(
         "session_id",
         "event_seq",
         "event_time",
@@ -184,13 +183,15 @@ def events_from_lines(lines: DataFrame, bucket_lines: int | None, stage: Stage)
     )
 
 
-def parse_sessions(chunks: DataFrame, bucket_lines: int | None = 1 << 20, stage: Stage = written) -> DataFrame:
+def parse_sessions(
+    chunks: DataFrame, bucket_lines: int | None = 1 << 20, hot_lines: int = HOT_ROWS, stage: Stage = written
+) -> DataFrame:
     """Session text to event rows.
 
-    ``bucket_lines`` splits long sessions into runs of that many line numbers. Pass None when each session is
+    Sessions of more than ``hot_lines`` lines are split into runs of ``bucket_lines`` line numbers. Pass None when each session is
     one file read as a whole: its size is then bounded by the file reader, and one shuffle per step is enough.
     """
-    return events_from_lines(to_lines(chunks), bucket_lines, stage)
+    return events_from_lines(to_lines(chunks), bucket_lines, hot_lines, stage)
 
 
 def parse_files(sessions: DataFrame, stage: Stage = written) -> DataFrame:
