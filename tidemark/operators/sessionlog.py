@@ -172,7 +172,9 @@ def number(emitted: DataFrame, bucket_lines: int | None, hot_lines: int = HOT_RO
 
 
 def events_from_lines(lines: DataFrame, bucket_lines: int | None, hot_lines: int, stage: Stage) -> DataFrame:
-    staged = stage(classify(lines), "lines")
+    # Only a line that may end up malformed has to keep its text.
+    may_fail = F.col("kind").isin(*BODY, BAD_TIME, UNKNOWN)
+    staged = stage(classify(lines).withColumn("line", F.when(may_fail, F.col("line"))), "lines")
     emitted = stage(emit(staged, segment(staged, bucket_lines, hot_lines)), "emitted")
     return number(emitted, bucket_lines, hot_lines).select(
         "session_id",
