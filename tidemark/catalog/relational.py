@@ -51,7 +51,9 @@ def geo(spark, sf_dir):
 
 @query("filter_eq", IMP + "SELECT prompt_id, length(prompt) AS n FROM docs WHERE category = 'src7'")
 def filter_eq(spark, sf_dir):
-    return docs(spark, sf_dir).filter(F.col("category") == "src7").select("prompt_id", F.length("prompt").alias("n"))
+    return docs(spark, sf_dir).filter(F.col("category") == "src7").select(
+        "prompt_id", F.length("prompt").cast("bigint").alias("n")
+    )
 
 
 @query("filter_range", IMP + "SELECT transaction_id, publisher_id, bid_price FROM imp WHERE bid_price > 5")
@@ -200,7 +202,7 @@ def surrogate_id(spark, sf_dir):
 
 @query(
     "udf_vs_native",
-    IMP + f"SELECT {BID} AS bid_category, count(*) AS n, 0 AS rowwise_differs, 0 AS arrow_differs FROM imp GROUP BY 1",
+    IMP + f"SELECT {BID} AS bid_category, count(*) AS n, 0::BIGINT AS rowwise_differs, 0::BIGINT AS arrow_differs FROM imp GROUP BY 1",
 )
 def udf_vs_native(spark, sf_dir):
     price = F.col("bid_price")
@@ -218,7 +220,7 @@ def udf_vs_native(spark, sf_dir):
 
 @query(
     "udf_vs_native_price",
-    IMP + "SELECT geo_id, count(*) AS n, 0 AS rowwise_differs, 0 AS arrow_differs FROM imp GROUP BY geo_id",
+    IMP + "SELECT geo_id, count(*) AS n, 0::BIGINT AS rowwise_differs, 0::BIGINT AS arrow_differs FROM imp GROUP BY geo_id",
 )
 def udf_vs_native_price(spark, sf_dir):
     price = F.col("bid_price")
@@ -362,7 +364,7 @@ def agg_two_keys(spark, sf_dir):
         scored,
         ["category", "prompt_model"],
         avg_input_tokens=F.round(F.avg("prompt_token_length"), 6),
-        max_chars=F.max("chars"),
+        max_chars=F.max("chars").cast("bigint"),
         count=F.count("*"),
     )
 

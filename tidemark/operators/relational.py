@@ -35,7 +35,7 @@ def top_n(
     if not ties:
         order = [F.desc(value), *tie_break]
         placed = df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-        return placed.filter(F.col("rank") <= n)
+        return placed.filter(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("bigint"))
     by_value = Window.partitionBy(*keys).orderBy(F.desc(value))
     counted = df.groupBy(*keys, value).agg(F.count("*").alias("__n"))
     largest = counted.withColumn("__place", F.row_number().over(by_value)).filter(F.col("__place") <= n)
