@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, simhash, token_counts, url_filters
+from tidemark.llm import packing, ranking, simhash, token_counts, toxicity, url_filters
 from tidemark.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,16 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_toxicity_nnpu")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_quality_ranking")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
