@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, ranking, simhash, token_counts, toxicity, url_filters
+from tidemark.llm import fingerprints, packing, ranking, simhash, token_counts, toxicity, url_filters
 from tidemark.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op2_piecewise_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 @query("op3_quality_ranking")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
