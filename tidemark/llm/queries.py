@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, packing, ranking, simhash, token_counts, toxicity, url_filters
+from tidemark.llm import fingerprints, packing, pieces, ranking, simhash, token_counts, toxicity, url_filters
 from tidemark.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op6_sentencepiece")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_and_check(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
