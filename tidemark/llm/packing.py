@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from array import array
 from collections import defaultdict
@@ -26,40 +27,74 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_schema, rows_of, shuffle_partitions, stage, texts
 
+PUNCTUATED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 CHUNK_CHARS = 64  # longer chunks are tokenized each time and not kept
 
 
 class Chunks(dict):
     """Token ids of a text between two spaces, by the tokenizer library; kept up to ``limit`` chunks.
 
-    The tokenizer's pre-tokens never hold a space, so a text may be cut at spaces. In ASCII texts A-Z are lowered before
-    the lookup, which the tokenizer does itself and which only makes chunks meet more often.
+    The tokenizer drops white space and its pre-tokens never hold a space or line end, so a text may be cut there. A chunk
+    of letters is one pre-token: many are encoded in one call, joined by spaces, and taken apart at tokens that end a
+    word. Letters followed by ASCII punctuation are two pre-tokens. In Latin-1 texts letters are lowered before the
+    lookup, which the tokenizer does itself and which only makes chunks meet more often.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         super().__init__()
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def encode(self, text: str) -> tuple[int, ...]:
+        return tuple(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+
+    def learn_words(self, new: list[str], most: int = 4096) -> None:
+        for at in range(0, len(new), most):
+            some = new[at : at + most]
+            ids = self.encode(" ".join(some))
+            cuts = (np.flatnonzero(self.ends_word[list(ids)]) + 1).tolist()
+            if len(cuts) == len(some):
+                self.update((w, ids[a:b]) for w, a, b in zip(some, [0, *cuts], cuts))
+            elif len(some) > 1:  # lower case or normal form made something else than the letters of one word
+                self.learn_words(some, (len(some) + 7) // 8)
+            else:
+                self[some[0]] = ids
 
     def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self and len(c) <= CHUNK_CHARS]
-        if len(self) + len(new) > self.limit:
+        if len(self) + len(chunks) > self.limit:
             self.clear()
-            new = [c for c in chunks if len(c) <= CHUNK_CHARS]
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.update((c, tuple(e.ids)) for c, e in zip(new, encoded))
+        new = [c for c in chunks if c not in self and len(c) <= CHUNK_CHARS]
+        words = {c for c in new if c.isalpha()}
+        pairs = {c: m.groups() for c in new if c not in words and (m := PUNCTUATED.fullmatch(c))}
+        words |= {word for word, _ in pairs.values()}
+        self.learn_words([w for w in words if w not in self])
+        self.update({marks: self.encode(marks) for marks in {m for _, m in pairs.values()} if marks not in self})
+        self.update((c, self[word] + self[marks]) for c, (word, marks) in pairs.items())
+        self.update((c, self.encode(c)) for c in new if c not in self)
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        return self.encode(chunk)
 
     def encode_all(self, values: list[str]) -> list[array]:
-        split = [(t.lower() if t.isascii() and "<|" not in t else t).split(" ") for t in values]
+        split = [lowered(t).replace("\n", " ").split(" ") for t in values]
         self.learn(set(chain.from_iterable(split)))
         return [array("I", chain.from_iterable(map(self.__getitem__, chunks))) for chunks in split]
 
 
+def lowered(text: str) -> str:
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+    return text if "<|" in text else text.lower()
+
+
 @lru_cache(maxsize=2)
 def chunk_ids(path: str) -> Chunks:
     return Chunks(path)
@@ -73,7 +108,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = chunk_ids(tokenizer_path)
-        for ids, values in rows_of(batches, 512):
+        for ids, values in rows_of(batches, 2048):
             out: list[list] = [[], [], [], [], []]
             for doc_id, tokens in zip(ids, known.encode_all(values)):
                 tokens.append(end_id)
