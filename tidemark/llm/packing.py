@@ -14,7 +14,6 @@ import bisect
 import os
 import re
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,11 +27,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_schema, rows_of, shuffle_partitions, stage, texts
 
 PUNCTUATED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
-CHUNK_CHARS = 64  # longer chunks are tokenized each time and not kept
+CHUNK_CHARS = 64  # longer chunks are not kept
 
 
-class Chunks(dict):
-    """Token ids of a text between two spaces, by the tokenizer library; kept up to ``limit`` chunks.
+class Chunks:
+    """Token ids (as bytes) of a text between two spaces, by the tokenizer library; kept up to ``limit`` chunks.
 
     The tokenizer drops white space and its pre-tokens never hold a space or line end, so a text may be cut there. A chunk
     of letters is one pre-token: many are encoded in one call, joined by spaces, and taken apart at tokens that end a
@@ -40,50 +39,55 @@ class Chunks(dict):
     lookup, which the tokenizer does itself and which only makes chunks meet more often.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.known: dict[str, bytes] = {}
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def encode(self, text: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn_words(self, new: list[str], most: int = 4096) -> None:
         for at in range(0, len(new), most):
             some = new[at : at + most]
             ids = self.encode(" ".join(some))
-            cuts = (np.flatnonzero(self.ends_word[list(ids)]) + 1).tolist()
+            cuts = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+            raw = ids.tobytes()
             if len(cuts) == len(some):
-                self.update((w, ids[a:b]) for w, a, b in zip(some, [0, *cuts], cuts))
+                self.known.update((w, raw[a:b]) for w, a, b in zip(some, [0, *cuts], cuts))
             elif len(some) > 1:  # lower case or normal form made something else than the letters of one word
                 self.learn_words(some, (len(some) + 7) // 8)
             else:
-                self[some[0]] = ids
+                self.known[some[0]] = raw
 
     def learn(self, chunks: set[str]) -> None:
-        if len(self) + len(chunks) > self.limit:
-            self.clear()
-        new = [c for c in chunks if c not in self and len(c) <= CHUNK_CHARS]
-        words = {c for c in new if c.isalpha()}
-        pairs = {c: m.groups() for c in new if c not in words and (m := PUNCTUATED.fullmatch(c))}
-        words |= {word for word, _ in pairs.values()}
-        self.learn_words([w for w in words if w not in self])
-        self.update({marks: self.encode(marks) for marks in {m for _, m in pairs.values()} if marks not in self})
-        self.update((c, self[word] + self[marks]) for c, (word, marks) in pairs.items())
-        self.update((c, self.encode(c)) for c in new if c not in self)
-
-    def __missing__(self, chunk: str) -> tuple[int, ...]:
-        return self.encode(chunk)
-
-    def encode_all(self, values: list[str]) -> list[array]:
+        known = self.known
+        if len(known) + len(chunks) > self.limit:
+            known.clear()
+        new = chunks.difference(known)
+        words = set(filter(str.isalpha, new))
+        matches = ((c, PUNCTUATED.fullmatch(c)) for c in new.difference(words))
+        pairs = {c: m.groups() for c, m in matches if m}
+        words.update(word for word, _ in pairs.values())
+        self.learn_words(list(words.difference(known)))
+        known.update({m: self.encode(m).tobytes() for m in {m for _, m in pairs.values()}.difference(known)})
+        known.update((c, known[word] + known[marks]) for c, (word, marks) in pairs.items())
+        known.update({c: self.encode(c).tobytes() for c in new.difference(known)})
+
+    def encode_all(self, values: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
         split = [lowered(t).replace("\n", " ").split(" ") for t in values]
-        self.learn(set(chain.from_iterable(split)))
-        return [array("I", chain.from_iterable(map(self.__getitem__, chunks))) for chunks in split]
+        chunks = set(chain.from_iterable(split))
+        self.learn(chunks)
+        encoded = [b"".join(map(self.known.__getitem__, parts)) for parts in split]
+        for long in [c for c in chunks if len(c) > CHUNK_CHARS]:
+            del self.known[long]
+        return encoded
 
 
 def lowered(text: str) -> str:
@@ -107,16 +111,15 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: i
     id_sql = chosen.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = chunk_ids(tokenizer_path)
+        known, end = chunk_ids(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for ids, values in rows_of(batches, 2048):
             out: list[list] = [[], [], [], [], []]
             for doc_id, tokens in zip(ids, known.encode_all(values)):
-                tokens.append(end_id)
-                n = len(tokens)
-                whole = np.frombuffer(tokens, np.uint32).astype("<u4", copy=False)
+                tokens += end
+                n = len(tokens) // 4
                 for start in range(0, n, capacity):
-                    piece = whole[start : start + capacity]
-                    for column, value in zip(out, (doc_id, start, len(piece), zlib.crc32(piece), n)):
+                    piece = tokens[4 * start : 4 * (start + capacity)]
+                    for column, value in zip(out, (doc_id, start, len(piece) // 4, zlib.crc32(piece), n)):
                         column.append(value)
             kinds = [id_type, pa.int64(), pa.int64(), pa.int64(), pa.int64()]
             arrays = [pa.array(v, k) for v, k in zip(out, kinds)]
