@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, packing, pieces, ranking, simhash, token_counts, toxicity, url_filters
+from tidemark.llm import fingerprints, neighbours, packing, pieces, ranking, simhash, token_counts, toxicity, url_filters
 from tidemark.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op4_nn_descent")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
