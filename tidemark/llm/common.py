@@ -67,6 +67,5 @@ def arrow_schema(df_schema) -> pa.Schema:
 
 
 def ragged_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sum of values[offsets[i]:offsets[i + 1]] for each i; empty slices give zero."""
-    sums = np.concatenate([[0.0], np.cumsum(values, dtype=float)])
-    return sums[offsets[1:]] - sums[offsets[:-1]]
+    """Sum of values[offsets[i]:offsets[i + 1]] for each i; no slice is empty."""
+    return np.add.reduceat(values, offsets[:-1]) if len(offsets) > 1 else np.zeros(0)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, neighbours, packing, pieces, ranking, simhash, token_counts, toxicity, url_filters
+from tidemark.llm import fingerprints, lm, neighbours, packing, pieces, ranking, simhash, token_counts, toxicity, url_filters
 from tidemark.llm.common import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), rules)
 
 
+@query("op9_lm_scoring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, lm.train(docs))
+
+
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
