@@ -14,11 +14,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, col, shuffle_partitions, texts
+from tidemark.llm.common import arrow_schema, shuffle_partitions, texts
 
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 WINDOW, MOST = 7, 64
@@ -184,23 +185,20 @@ def in_order(docs: DataFrame, partitions: int) -> DataFrame:
     """
     spark = docs.sparkSession
     chosen = texts(docs)
-    cuts = chosen.agg(F.percentile_approx("doc_id", [i / partitions for i in range(1, partitions)], 10_000)).first()[0]
+    buckets = 4 * partitions  # several in each partition, so that partitions are alike
+    cuts = chosen.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 10_000)).first()[0]
     bounds = sorted(set(cuts or []), reverse=True)
 
-    def bucket_of(ids):
-        import pandas as pd
-
+    def bucket_of(ids: pd.Series) -> pd.Series:
         place = np.searchsorted(-np.array(bounds, float), -pd.to_numeric(ids).to_numpy(float, na_value=-np.inf), side="left")
         return pd.Series(place.astype(np.int32))
 
-    from pyspark.sql.functions import pandas_udf
-
-    bucket = pandas_udf(bucket_of, "int")("doc_id")
+    bucket = F.pandas_udf(bucket_of, "int")("doc_id")
     dealt = chosen.withColumn("bucket", bucket)
     heads = sorted(dealt.groupBy("bucket").agg(F.max("doc_id").alias("head")).collect(), key=lambda r: r["bucket"])
     rows = [(heads[i - 1]["bucket"], r["bucket"], r["head"]) for i, r in enumerate(heads)]
     kinds = f"to int, bucket int, head {chosen.schema['doc_id'].dataType.simpleString()}"
-    first = F.broadcast(spark.createDataFrame(rows, kinds))  # one row for each partition
+    first = F.broadcast(spark.createDataFrame(rows, kinds))  # one row for each bucket
     here = F.struct("bucket", F.lit(False).alias("tail"))
     there = F.struct(F.col("to").alias("bucket"), F.lit(True).alias("tail"))
     is_head = F.col("head").eqNullSafe(F.col("doc_id"))

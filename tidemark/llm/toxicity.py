@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -230,10 +231,7 @@ def model_keeps(model: Model, values: list[str]) -> np.ndarray:
 
 def keep(docs: DataFrame, kept) -> DataFrame:
     """Rows for whose text (null read as empty) ``kept`` says yes."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("boolean")
+    @F.pandas_udf("boolean")
     def wanted(text: pd.Series) -> pd.Series:
         return pd.Series(kept(text.fillna("").tolist()))
 
