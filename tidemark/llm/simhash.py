@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, rows_of, stage, texts, words
+from tidemark.llm.common import arrow_schema, col, rows_of, stage, texts, words
 from tidemark.llm.components import components
 
 SEED = 42
@@ -125,9 +125,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, most: int = 2) -> DataFrame:
 def one_of_each(docs: DataFrame, size: int = 3, most: int = 2) -> DataFrame:
     """The documents that stay: of each component the one with the smallest doc_id, with all its columns.
 
-    Exact repeats of the staying row leave one row; rows with a null doc_id stay.
+    Rows with one doc_id are one document: one row stays, and none if any of them follows a smaller id. Rows with a null
+    doc_id all stay, as nothing tells them apart.
     """
     dropped = near_duplicates(docs, size, most).filter("doc_id <> component_id").select("doc_id").distinct()
-    rest = docs.join(dropped, "doc_id", "left_anti")
-    repeated = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
-    return rest.dropDuplicates(["doc_id"]) if repeated else rest
+    rest = docs.join(dropped, "doc_id", "left_anti").select(*[col(c) for c in docs.columns])
+    repeated = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").limit(1).count() > 0
+    if not repeated:
+        return rest
+    return rest.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(rest.filter("doc_id IS NULL"))
