@@ -109,3 +109,39 @@ def test_read_sessions_names_and_paths(spark, tmp_path):
     (tmp_path / "deep" / "s1").write_bytes("тест".encode("cp1251"))
     (row,) = read_sessions(spark, str(tmp_path)).collect()
     assert (row.session_id, row.content) == ("s1", "тест") and row.path.endswith("/deep/s1")
+
+
+def test_files_of_one_name_are_two_sessions(spark, tmp_path):
+    from tidemark.operators.sessionlog import parse_files
+    from tidemark.sources.sessions import read_sessions
+
+    for folder, query in (("a", "first"), ("b", "second")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "s1").write_bytes(f"SESSION_START 01.01.2024_00:00:00\nQS 01.01.2024_00:00:01 {{{query}}}\n1 A_1".encode())
+    events = parse_files(read_sessions(spark, str(tmp_path)), with_path=True).collect()
+    assert sorted((r.path[-4:], r.session_id, r.event_seq, r.query_text) for r in events if r.event_type == "QS") == [
+        ("a/s1", "s1", 1, "first"), ("b/s1", "s1", 1, "second")
+    ]
+
+
+def test_derived_tables_follow_their_input(spark, sf_dir, tmp_path):
+    from tidemark.catalog import REGISTRY
+
+    folder = str(tmp_path / "tables")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.write.parquet(f"{folder}/events.parquet")
+    before = REGISTRY["dash_event_count"].build(spark, folder).collect()
+    events.limit(100).write.mode("overwrite").parquet(f"{folder}/events.parquet")
+    assert REGISTRY["dash_event_count"].build(spark, folder).collect() != before
+
+
+def test_staged_tables_go_with_their_scope(spark, tmp_path):
+    import os
+
+    from tidemark.lineage import staged, written
+
+    with staged(spark):
+        kept = written(spark.range(3), "scoped")
+        (path,) = {os.path.dirname(f.removeprefix("file://")) for f in kept.inputFiles()}
+        assert os.path.isdir(path) and kept.count() == 3
+    assert not os.path.exists(path)

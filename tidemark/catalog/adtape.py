@@ -66,9 +66,10 @@ def tape(spark, sf_dir):
 
 
 def judged(spark, sf_dir):
-    """The tape with all click rules, stored: attribution reads it twice."""
-    ruled = A.with_too_fast(A.with_impression_lag(tape(spark, sf_dir), LOOK_BACK, GRAIN), TOO_FAST)
-    return written(A.with_valid_click(A.with_burst(ruled, BURST_WINDOW, BURST_CLICKS, GRAIN)), "tape")
+    """The tape with all click rules. Stored before and after each rule, as every rule reads its input twice."""
+    stored = written(tape(spark, sf_dir), "tape")
+    ruled = written(A.with_too_fast(A.with_impression_lag(stored, LOOK_BACK, GRAIN), TOO_FAST), "tape-seen")
+    return written(A.with_valid_click(A.with_burst(ruled, BURST_WINDOW, BURST_CLICKS, GRAIN)), "tape-judged")
 
 
 def attributed(spark, sf_dir):

@@ -114,7 +114,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         write_by(parse_sessions(chunks(spark, sf_dir)), path, "event_date", sort=("session_id", "event_seq"))
 
-    path = built_once(spark, sf_dir, "events", write)
+    path = built_once(spark, sf_dir, "events", "events", write)
     return spark.read.schema(EVENT_TABLE).parquet(path)
 
 
@@ -243,12 +243,12 @@ def bronze_json_cols(spark, sf_dir):
 
 @query(
     "incremental_ingest",
-    PARSED + "SELECT path FROM ledger WHERE events_count % 3 <> 0 ORDER BY path LIMIT 5000",
+    PARSED + "SELECT path FROM ledger WHERE events_count % 3 <> 0",
 )
 def incremental_ingest(spark, sf_dir):
     files = ledger(spark, sf_dir)
     known = files.filter(F.col("events_count") % 3 == 0)
-    return new_files(files.select("path"), known, cap=5000)
+    return new_files(files.select("path"), known)
 
 
 # ---------------------------------------------------------------- profile
@@ -308,7 +308,7 @@ docs AS (
   UNION ALL SELECT unnest(['LAW_' || k, 'LAW_' || ((k + 1) % 100)]) FROM ev
             WHERE event_type = 'signup' AND event_id % 11 <> 0
   UNION ALL SELECT unnest(['ACC_' || (k % 10), 'ACC_' || (k % 10)]) FROM ev WHERE event_type = 'error')
-SELECT doc_id, count(*) AS n FROM docs GROUP BY doc_id ORDER BY n DESC, doc_id LIMIT 5000""",
+SELECT doc_id, count(*) AS n FROM docs GROUP BY doc_id""",
 )
 def log_profile_docs(spark, sf_dir):
     return logprofile.profile_docs(to_lines(chunks(spark, sf_dir)))
@@ -320,8 +320,7 @@ def log_profile_docs(spark, sf_dir):
 WITH {EV}
 SELECT session_id, event_id * 8 AS line_no,
        CASE WHEN event_type = 'signup' THEN 'q' || (k % 20) ELSE 'x' END AS query
-FROM ev WHERE event_type = 'signup' OR (event_type = 'purchase' AND k % 4 = 1)
-ORDER BY session_id, line_no LIMIT 200""",
+FROM ev WHERE event_type = 'signup' OR (event_type = 'purchase' AND k % 4 = 1)""",
 )
 def log_profile_queries(spark, sf_dir):
     return logprofile.profile_queries(to_lines(chunks(spark, sf_dir)))

@@ -57,12 +57,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_BUILT: dict[tuple[str, str, str], str] = {}
+_BUILT: dict[tuple, str] = {}
 
 
-def built_once(spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], None]) -> str:
-    """Path of a table derived from ``sf_dir``, written to the shared folder once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, label)
+def state_of(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """What tells a table's content apart without reading it: its files with their sizes and times."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed, found = store.listFiles(root, True), []
+    while listed.hasNext():
+        f = listed.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def forget_built() -> None:
+    """Build derived tables anew at their next use."""
+    _BUILT.clear()
+
+
+def built_once(spark: SparkSession, sf_dir: str, source: str, label: str, write: Callable[[str], None]) -> str:
+    """Path of a table derived from table ``source``, written to the shared folder once for each state of its files."""
+    key = (spark.sparkContext.applicationId, label, state_of(spark, sf_dir, source))
     if key not in _BUILT:
         path = new_folder(spark, label)
         write(path)

@@ -480,11 +480,11 @@ def topn_row_number(spark, sf_dir):
 @query(
     "union_all",
     "SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag = 'A' "
-    "UNION ALL SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag = 'R'",
+    "UNION ALL SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag <> 'A'",
 )
 def union_all(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    return lines.filter(F.col("l_returnflag") == "A").unionByName(lines.filter(F.col("l_returnflag") == "R"))
+    return lines.filter(F.col("l_returnflag") == "A").unionByName(lines.filter(F.col("l_returnflag") != "A"))
 
 
 @query("distinct_keys", "SELECT DISTINCT l_suppkey FROM lineitem")

@@ -12,12 +12,13 @@ from tidemark.catalog.storage import write_session_files
 from tidemark.lineage import new_folder
 from tidemark.operators import adtape as A
 from tidemark.streaming import jobs, windows
-from tidemark.streaming.sources import stream_files
+from tidemark.streaming.sources import stream_files, stream_table
 from tidemark.streaming.state import click_state, fold_click_state
 
 
 def event_stream(spark, sf_dir):
-    return stream_files(spark, sf_dir, table(spark, sf_dir, "events").schema, glob="events.parquet")
+    """The events table as a stream, whether it is one file or a folder of part files."""
+    return stream_table(spark, f"{sf_dir.rstrip('/')}/events.parquet", table(spark, sf_dir, "events").schema)
 
 
 def drained(spark, stream, label):
@@ -92,7 +93,7 @@ def stream_latest(spark, sf_dir):
     target = new_folder(spark, "latest")
     stream = event_stream(spark, sf_dir).select("user_id", "event_type", "event_id")
     jobs.start_latest(stream, ["user_id"], "event_id", target, new_folder(spark, "latest-log")).awaitTermination()
-    return jobs.read_latest(spark, target, ["user_id"], "event_id")
+    return jobs.read_latest(spark, target)
 
 
 @query("stream_sink", "SELECT event_type, count(*) AS n, max(event_id) AS last_id FROM events GROUP BY event_type")
@@ -115,22 +116,23 @@ SELECT event_id, device_id, campaign_id, epoch_us(coalesce(click_at, view_at)) A
 FROM met WHERE event_type = 'conversion'"""
 
 
-# The events arrive in three parts, and the stream stops and resumes between them.
+# The events arrive in three parts out of time order, and the stream stops and resumes between them.
 @query("stream_attribution", ATTRIBUTED)
 def stream_attribution(spark, sf_dir):
     source, target, carry, log = (new_folder(spark, f"attribution-{n}") for n in ("in", "out", "carry", "log"))
     tape = A.with_identity(ad_tape(table(spark, sf_dir, "events")))
     edges = [F.lit(day).cast("timestamp") for day in ("2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01")]
-    for part, (start, end) in enumerate(zip(edges, edges[1:])):
+    for part in (1, 2, 0):
+        start, end = edges[part], edges[part + 1]
         first, last = part == 0, part == len(edges) - 2
         inside = F.lit(True) if first else F.col("ts") >= start
         inside = inside if last else inside & (F.col("ts") < end)
         tape.filter(inside).write.mode("append").parquet(source)
         stream = stream_files(spark, source, tape.schema)
         jobs.start_attribution(
-            stream, target, carry, log, impression_us=3 * A.DAY, grain_us=GRAIN
+            stream, target, carry, log, impression_us=3 * A.DAY, grain_us=GRAIN, late_us=31 * A.DAY
         ).awaitTermination()
-    stored = spark.read.parquet(target)
+    stored = jobs.read_attribution(spark, target)
     return stored.select("event_id", "device_id", "campaign_id", "attributed_us", "source")
 
 

@@ -25,20 +25,31 @@ def _day_first(token: Column, pattern: str) -> Column:
     return F.coalesce(F.try_to_timestamp(token, F.lit(pattern)), clamped)
 
 
+MIDNIGHT = r"_24:00:00(?=$|_)"
+
+
+def _midnight(token: Column) -> tuple[Column, Column]:
+    """The token with 24:00:00 written as 00:00:00, and the days that this takes away."""
+    return F.regexp_replace(token, MIDNIGHT, "_00:00:00"), F.when(token.rlike(MIDNIGHT), 1).otherwise(0)
+
+
 def parse_local(token: Column) -> Column:
-    """``dd.MM.yyyy_HH:mm:ss`` read as UTC, null when it is anything else."""
-    return F.when(token.rlike(LOCAL_SHAPE), _day_first(token, LOCAL_FORMAT))
+    """``dd.MM.yyyy_HH:mm:ss`` read as UTC, null when it is anything else; 24:00:00 is the next day's start."""
+    plain, days = _midnight(token)
+    parsed = _day_first(plain, LOCAL_FORMAT)
+    return F.when(token.rlike(LOCAL_SHAPE), F.timestamp_seconds(F.unix_seconds(parsed) + days * 86400))
 
 
 def parse_zoned(token: Column) -> Column:
-    """``EEE,_d_MMM_yyyy_HH:mm:ss_Z``; a weekday that contradicts the date gives null."""
-    local = _day_first(F.regexp_extract(token, ZONED_SHAPE, 2), ZONED_FORMAT)
+    """``EEE,_d_MMM_yyyy_HH:mm:ss_Z``; a weekday that contradicts the written date gives null."""
+    plain, days = _midnight(token)
+    local = _day_first(F.regexp_extract(plain, ZONED_SHAPE, 2), ZONED_FORMAT)
     sign = F.regexp_extract(token, ZONED_SHAPE, 3)
     hours = F.concat(sign, F.regexp_extract(token, ZONED_SHAPE, 4)).try_cast("int")
     minutes = F.concat(sign, F.regexp_extract(token, ZONED_SHAPE, 5)).try_cast("int")
     return F.when(
         token.rlike(ZONED_SHAPE) & (F.date_format(local, "E") == F.regexp_extract(token, ZONED_SHAPE, 1)),
-        F.timestamp_seconds(F.unix_seconds(local) - (hours * 3600 + minutes * 60)),
+        F.timestamp_seconds(F.unix_seconds(local) + days * 86400 - (hours * 3600 + minutes * 60)),
     )
 
 

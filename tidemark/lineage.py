@@ -4,25 +4,54 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}
+_SCOPE: ContextVar[list[str] | None] = ContextVar("staged_folders", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only for local sessions without it."""
+    """The folder named by spark.checkpoint.dir; a temporary one only in a single-JVM session without that setting."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is created until something is written there."""
-    return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
+    return path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
+@contextmanager
+def staged(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made inside when the block ends. Results must be written elsewhere by then."""
+    folders: list[str] = []
+    token = _SCOPE.set(folders)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in folders:
+            drop_folder(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

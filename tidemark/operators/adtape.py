@@ -2,7 +2,7 @@
 
 Every "latest earlier event" rule is a running maximum per key with the time limit checked afterwards: when the
 latest event is too old, so is every other one. That needs no self-join and no wide range window, and the running
-maximum splits devices of more than ``hot_rows`` rows over time buckets of ``grain_us``.
+maximum splits devices over time buckets of ``grain_us``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.scan import HOT_ROWS, Carry, by_time, rolling_counts, running
+from tidemark.operators.scan import Carry, by_time, rolling_counts, running
 
 SECOND = 1_000_000
 MINUTE = 60 * SECOND
@@ -32,7 +32,7 @@ def with_identity(tape: DataFrame) -> DataFrame:
     return tape.withColumn("device_id", F.coalesce("raw_device_id", "user_id", "cookie"))
 
 
-def dedup_tape(tape: DataFrame, tolerance_us: int | None = None, grain_us: int = GRAIN, hot_rows: int = HOT_ROWS) -> DataFrame:
+def dedup_tape(tape: DataFrame, tolerance_us: int | None = None, grain_us: int = GRAIN) -> DataFrame:
     """Drop exact copies; with a tolerance also events that follow their twin within it.
 
     A twin has the same device, type, ad and campaign. A chain of close twins keeps only its first event.
@@ -43,18 +43,18 @@ def dedup_tape(tape: DataFrame, tolerance_us: int | None = None, grain_us: int =
         return unique
     spaced = running(
         unique, identity, ["ts_us"], [Carry("twin_us", "max", F.col("ts_us"), "before")],
-        by_time(F.col("ts_us"), grain_us, hot_rows),
+        by_time(F.col("ts_us"), grain_us),
     )
     return spaced.filter(F.col("twin_us").isNull() | (F.col("ts_us") - F.col("twin_us") > tolerance_us)).drop("twin_us")
 
 
-def with_previous(tape: DataFrame, grain_us: int = GRAIN, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_previous(tape: DataFrame, grain_us: int = GRAIN) -> DataFrame:
     """prev_type: the type of the device's preceding event (ties in order of event_id)."""
     return (
         running(
             tape, ["device_id"], ["ts_us", "event_id"],
             [Carry("prev", "max", F.struct("ts_us", "event_id", "event_type"), "before")],
-            by_time(F.col("ts_us"), grain_us, hot_rows),
+            by_time(F.col("ts_us"), grain_us),
         )
         .withColumn("prev_type", F.col("prev.event_type"))
         .drop("prev")
@@ -65,10 +65,10 @@ def _recent(moment: Column, now: Column, window_us: int) -> Column:
     return F.when(now - moment <= window_us, moment)
 
 
-def with_impression_lag(tape: DataFrame, window_us: int = 30 * MINUTE, grain_us: int = GRAIN, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_impression_lag(tape: DataFrame, window_us: int = 30 * MINUTE, grain_us: int = GRAIN) -> DataFrame:
     """impression_us: the latest impression of the same ad on the device within the window, itself included."""
     seen = Carry("impression_us", "max", F.when(is_type("impression"), F.col("ts_us")), "peers")
-    found = running(tape, ["device_id", "ad_id"], ["ts_us"], [seen], by_time(F.col("ts_us"), grain_us, hot_rows))
+    found = running(tape, ["device_id", "ad_id"], ["ts_us"], [seen], by_time(F.col("ts_us"), grain_us))
     return found.withColumn("impression_us", _recent(F.col("impression_us"), F.col("ts_us"), window_us)).withColumn(
         "has_impression", F.col("impression_us").isNotNull()
     )
@@ -80,14 +80,10 @@ def with_too_fast(tape: DataFrame, limit_us: int = 50_000) -> DataFrame:
     return tape.withColumn("too_fast", F.coalesce(quick, F.lit(False)))
 
 
-def with_burst(
-    tape: DataFrame, window_us: int = 10 * MINUTE, clicks: int = 20, grain_us: int = GRAIN, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def with_burst(tape: DataFrame, window_us: int = 10 * MINUTE, clicks: int = 20, grain_us: int = GRAIN) -> DataFrame:
     """burst: more than ``clicks`` clicks and no conversion of the device within the window."""
-    counted = rolling_counts(
-        tape, ["device_id"], "ts_us", {"clicks_seen": is_type("click"), "conversions_seen": is_type("conversion")}, window_us, grain_us,
-        hot_rows,
-    )
+    conditions = {"clicks_seen": is_type("click"), "conversions_seen": is_type("conversion")}
+    counted = rolling_counts(tape, ["device_id"], "ts_us", conditions, window_us, grain_us)
     return counted.withColumn("burst", (F.col("clicks_seen") > clicks) & (F.col("conversions_seen") == 0))
 
 
@@ -99,7 +95,7 @@ def with_valid_click(tape: DataFrame) -> DataFrame:
 
 
 def attribute(
-    tape: DataFrame, click_us: int = 7 * DAY, view_us: int = 24 * HOUR, grain_us: int = GRAIN, hot_rows: int = HOT_ROWS
+    tape: DataFrame, click_us: int = 7 * DAY, view_us: int = 24 * HOUR, grain_us: int = GRAIN
 ) -> DataFrame:
     """Per event: the last valid click of its campaign on the device, else the last impression, and which it was."""
     touched = running(
@@ -110,7 +106,7 @@ def attribute(
             Carry("click_at", "max", F.when(F.col("valid_click"), F.col("ts_us")), "peers"),
             Carry("view_at", "max", F.when(is_type("impression"), F.col("ts_us")), "peers"),
         ],
-        by_time(F.col("ts_us"), grain_us, hot_rows),
+        by_time(F.col("ts_us"), grain_us),
     )
     return _credited(touched, click_us, view_us)
 

@@ -47,19 +47,21 @@ def profile_gaps(lines: DataFrame, limit_s: int = 3600, bucket_lines: int | None
     return paired.select("session_id", "line_no", seconds.alias("gap_s")).filter(F.col("gap_s") < limit_s)
 
 
-def profile_docs(lines: DataFrame, n: int = 5000) -> DataFrame:
-    """The n most frequent document ids in open lines and result lines."""
+def profile_docs(lines: DataFrame, top: int | None = None) -> DataFrame:
+    """Document ids in open lines and result lines with their counts; all of them, or the ``top`` most frequent."""
     words = F.split("line", r"\s+")
     listed = F.filter(F.slice(words, 2, F.size(words)), lambda w: w.contains("_"))
     named = F.when(F.col("line").startswith("DOC_OPEN"), F.array(F.element_at(words, -1))).when(
         F.col("line").rlike("^[0-9-]"), listed
     )
     docs = lines.select(F.explode(named).alias("doc_id"))
-    return docs.groupBy("doc_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "doc_id").limit(n)
+    counts = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    return counts if top is None else counts.orderBy(F.desc("n"), "doc_id").limit(top)
 
 
-def profile_queries(lines: DataFrame, n: int = 200) -> DataFrame:
-    """The first n query texts in (session, line) order."""
+def profile_queries(lines: DataFrame, first: int | None = None) -> DataFrame:
+    """All query texts, or the ``first`` of them in (session, line) order."""
     query = F.regexp_extract("line", r"\{(.*)\}", 1)
     asked = lines.filter(F.col("line").startswith("QS ") & F.col("line").rlike(r"\{.*\}"))
-    return asked.select("session_id", "line_no", query.alias("query")).orderBy("session_id", "line_no").limit(n)
+    queries = asked.select("session_id", "line_no", query.alias("query"))
+    return queries if first is None else queries.orderBy("session_id", "line_no").limit(first)

@@ -26,7 +26,7 @@ def window_start(range_s: int) -> Column:
 def deltas(samples: DataFrame, series: Sequence[str], grain_us: int = GRAIN) -> DataFrame:
     """Growth of a counter since the sample before; after a reset the new value itself."""
     previous = Carry("prev", "max", F.struct("ts_us", "sample_id", "value"), "before")
-    paired = running(samples, series, ["ts_us", "sample_id"], [previous], by_time(F.col("ts_us"), grain_us, hot_rows=0))
+    paired = running(samples, series, ["ts_us", "sample_id"], [previous], by_time(F.col("ts_us"), grain_us))
     before, now = F.col("prev.value"), F.col("value")
     grown = F.when(before.isNull(), 0.0).when(now < before, now).otherwise(now - before)
     return paired.withColumn("delta", grown).drop("prev")
@@ -129,7 +129,7 @@ def alert_sustained(
     broken = Carry("broken", "max", F.when(~held, F.struct("ts_us", "sample_id")))
     marked = running(
         samples.withColumn("__held", held), series, ["ts_us", "sample_id"], [broken],
-        by_time(F.col("ts_us"), grain_us, hot_rows=0),
+        by_time(F.col("ts_us"), grain_us),
     )
     stretches = (
         marked.filter("__held")

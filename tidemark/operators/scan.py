@@ -1,11 +1,12 @@
 """Running aggregates over ordered groups, split so that no group has to fit one task.
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sends a whole key to one task. When one key holds a third of
-the rows, that task never ends. ``running`` first counts rows per key. Keys of bounded size are folded whole. Larger
-ones are cut into buckets along the order; each bucket is aggregated (with map-side combine), the aggregate of
-the earlier buckets is carried into it as one seed row, and rows are folded only inside (key, bucket). Sums,
-minima and maxima compose that way exactly; "latest non-null" is a maximum over a struct that starts with the
-order columns.
+the rows, that task never ends. ``running`` cuts every key into buckets along the order; each bucket is aggregated
+(with map-side combine), the aggregate of the earlier buckets is carried into it as one seed row, and rows are folded
+only inside (key, bucket). Sums, minima and maxima compose that way exactly; "latest non-null" is a maximum over a
+struct that starts with the order columns. The plan is the same for every size: two reads of the input (rows and
+totals), three shuffles, of which only one carries rows. Write the input first where it is costly to make, and between
+steps that follow each other.
 """
 
 from __future__ import annotations
@@ -16,9 +17,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Keys with more rows than this are split. The list of such keys is broadcast: it has at most (rows / HOT_ROWS) entries.
-HOT_ROWS = 1_000_000
-
 _FOLDS = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
@@ -38,13 +36,10 @@ class Carry:
 
 @dataclass(frozen=True)
 class Split:
-    """How to cut large keys: ``bucket`` must not decrease along the order within a key.
-
-    With ``hot_rows`` 0 every key is cut, which saves the count where all keys are known to be large.
-    """
+    """How to cut keys: ``bucket`` must not decrease along the order within a key. Choose it so that the rows of one key in
+    one bucket fit a task."""
 
     bucket: Column
-    hot_rows: int = HOT_ROWS
 
 
 def _frame(keys: Sequence[str], order: Sequence[str], frame: str):
@@ -77,8 +72,8 @@ def running(
         )
         return folded.drop(*slots)
 
-    staged = _with_bucket(staged, keys, split).withColumn("__is_row", F.lit(1))
-    totals = staged.filter(F.col("__bucket").isNotNull()).groupBy(*keys, "__bucket").agg(
+    staged = staged.withColumns({"__bucket": split.bucket, "__is_row": F.lit(1)})
+    totals = staged.groupBy(*keys, "__bucket").agg(
         *[_FOLDS[c.how](slot).alias(slot) for slot, c in zip(slots, carries)]
     )
     earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -102,17 +97,6 @@ def running(
     return folded.filter(F.col("__is_row") == 1).drop("__is_row", "__bucket", *slots)
 
 
-def _with_bucket(df: DataFrame, keys: Sequence[str], split: Split) -> DataFrame:
-    """Add __bucket, null for keys that stay whole."""
-    if split.hot_rows <= 0:
-        return df.withColumn("__bucket", split.bucket)
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > split.hot_rows)
-    hot = F.broadcast(sizes.select(*[F.col(key).alias(f"__hot_{key}") for key in keys], F.lit(True).alias("__hot")))
-    matches = [df[key].eqNullSafe(hot[f"__hot_{key}"]) for key in keys]
-    marked = df.join(hot, matches, "left").withColumn("__bucket", F.when(F.col("__hot"), split.bucket))
-    return marked.drop("__hot", *[f"__hot_{key}" for key in keys])
-
-
 def rolling_counts(
     df: DataFrame,
     keys: Sequence[str],
@@ -120,7 +104,6 @@ def rolling_counts(
     conditions: dict[str, Column],
     width_us: int,
     grain_us: int,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Count rows meeting each condition in [t - width, t], as a sweep: +1 on arrival, -1 after expiry.
 
@@ -143,16 +126,16 @@ def rolling_counts(
         keys,
         [ts_us, "__phase"],
         [Carry(name, "sum", F.col(f"__hit_{name}"), "peers") for name in conditions],
-        by_time(F.col(ts_us), grain_us, hot_rows),
+        by_time(F.col(ts_us), grain_us),
     )
     return swept.filter(F.col("__phase") == 0).drop("__phase", *flags)
 
 
-def by_time(ts_us: Column, grain_us: int, hot_rows: int = HOT_ROWS) -> Split:
+def by_time(ts_us: Column, grain_us: int) -> Split:
     """Cut an epoch-microsecond order into spans of ``grain_us``."""
-    return Split(F.floor(ts_us / F.lit(grain_us)), hot_rows)
+    return Split(F.floor(ts_us / F.lit(grain_us)))
 
 
-def by_line(line_no: Column, size: int | None, hot_rows: int = HOT_ROWS) -> Split | None:
+def by_line(line_no: Column, size: int | None) -> Split | None:
     """Cut a line-number order into runs of ``size`` numbers; None keeps every key whole."""
-    return None if size is None else Split(F.floor(line_no / F.lit(size)), hot_rows)
+    return None if size is None else Split(F.floor(line_no / F.lit(size)))

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import last_path_part
 from tidemark.lineage import written
 from tidemark.operators.loglines import BAD_TIME, UNKNOWN, classify, to_lines
-from tidemark.operators.scan import HOT_ROWS, Carry, by_line, running
+from tidemark.operators.scan import Carry, by_line, running
 
 HEADERS = ("SESSION_START", "SESSION_END", "QS", "CARD_START")
 BODY = ("CARD_END", "PARAM", "RESULTS")
@@ -34,10 +35,11 @@ _NO_DOCS = "cast(array() as array<string>)"
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
-def segment(lines: DataFrame, bucket_lines: int | None, hot_lines: int = HOT_ROWS) -> DataFrame:
+def segment(lines: DataFrame, bucket_lines: int | None, stage: Stage) -> DataFrame:
     """Give every body line its header, the line that closes the card form and the accepted result line.
 
-    Segments with nothing pending need no such lookup, so each of their lines is a segment of its own.
+    Both lines are minima of a segment (the lines under one header), so they are aggregated with map-side combine and
+    joined back: a runaway form of any length is split like any skewed join. Lines with nothing pending need neither.
     """
     header = F.when(F.col("kind").isin(*HEADERS), F.struct("line_no", "kind", "time", "query"))
     headed = running(
@@ -45,21 +47,18 @@ def segment(lines: DataFrame, bucket_lines: int | None, hot_lines: int = HOT_ROW
         ["session_id"],
         ["line_no"],
         [Carry("header", "max", header)],
-        by_line(F.col("line_no"), bucket_lines, hot_lines),
+        by_line(F.col("line_no"), bucket_lines),
     ).filter(F.col("kind").isin(*BODY))
     pending = F.col("header.kind")
     line_no, kind = F.col("line_no"), F.col("kind")
-    keyed = headed.withColumn(
-        "segment", F.when(pending.isin("QS", "CARD_START"), F.col("header.line_no")).otherwise(line_no)
-    )
-    in_segment = Window.partitionBy("session_id", "segment")
-    closed = keyed.withColumn(
-        "card_end", F.min(F.when((pending == "CARD_START") & (kind == "CARD_END"), line_no)).over(in_segment)
-    )
-    awaited = (pending == "QS") | ((pending == "CARD_START") & (line_no > F.col("card_end")))
-    return closed.withColumn(
-        "results_at", F.min(F.when((kind == "RESULTS") & awaited, line_no)).over(in_segment)
-    )
+    in_segment = F.when(pending.isin("QS", "CARD_START"), F.col("header.line_no"))
+    keyed = stage(headed.withColumn("segment", in_segment), "segments")
+    segments = ["session_id", "segment"]
+    ends = keyed.filter((pending == "CARD_START") & (kind == "CARD_END")).groupBy(*segments).agg(F.min("line_no").alias("card_end"))
+    answers = keyed.filter((kind == "RESULTS") & F.col("segment").isNotNull()).join(ends, segments, "left")
+    awaited = answers.filter((pending == "QS") | (line_no > F.col("card_end")))
+    results = awaited.groupBy(*segments).agg(F.min("line_no").alias("results_at"))
+    return keyed.join(ends.join(results, segments, "full"), segments, "left")
 
 
 def emit(lines: DataFrame, segmented: DataFrame) -> DataFrame:
@@ -140,9 +139,12 @@ def emit(lines: DataFrame, segmented: DataFrame) -> DataFrame:
     return direct.unionByName(single).unionByName(cards)
 
 
-def number(emitted: DataFrame, bucket_lines: int | None, hot_lines: int = HOT_ROWS) -> DataFrame:
-    """Sequence number, time of untimed opens, and the kind of search each open came from."""
-    split = by_line(F.col("line_no"), bucket_lines, hot_lines)
+def number(emitted: DataFrame, bucket_lines: int | None, stage: Stage) -> DataFrame:
+    """Sequence number, time of untimed opens, and the kind of search each open came from.
+
+    Each of the two steps reads its input twice if it splits, so the first is stored then.
+    """
+    split = by_line(F.col("line_no"), bucket_lines)
     is_search = F.col("event_type").isin("QS", "CARD_SEARCH")
     matched = running(
         emitted,
@@ -152,7 +154,7 @@ def number(emitted: DataFrame, bucket_lines: int | None, hot_lines: int = HOT_RO
         split,
     )
     clocked = running(
-        matched,
+        matched if split is None else stage(matched, "matched"),
         ["session_id"],
         ["line_no"],
         [
@@ -171,12 +173,12 @@ def number(emitted: DataFrame, bucket_lines: int | None, hot_lines: int = HOT_RO
     )
 
 
-def events_from_lines(lines: DataFrame, bucket_lines: int | None, hot_lines: int, stage: Stage) -> DataFrame:
+def events_from_lines(lines: DataFrame, bucket_lines: int | None, stage: Stage) -> DataFrame:
     # Only a line that may end up malformed has to keep its text.
     may_fail = F.col("kind").isin(*BODY, BAD_TIME, UNKNOWN)
     staged = stage(classify(lines).withColumn("line", F.when(may_fail, F.col("line"))), "lines")
-    emitted = stage(emit(staged, segment(staged, bucket_lines, hot_lines)), "emitted")
-    return number(emitted, bucket_lines, hot_lines).select(
+    emitted = stage(emit(staged, segment(staged, bucket_lines, stage)), "emitted")
+    return number(emitted, bucket_lines, stage).select(
         "session_id",
         "event_seq",
         "event_time",
@@ -186,19 +188,24 @@ def events_from_lines(lines: DataFrame, bucket_lines: int | None, hot_lines: int
 
 
 def parse_sessions(
-    chunks: DataFrame, bucket_lines: int | None = 1 << 20, hot_lines: int = HOT_ROWS, stage: Stage = written
+    chunks: DataFrame, bucket_lines: int | None = 1 << 20, stage: Stage = written
 ) -> DataFrame:
     """Session text to event rows.
 
-    Sessions of more than ``hot_lines`` lines are split into runs of ``bucket_lines`` line numbers. Pass None when each session is
-    one file read as a whole: its size is then bounded by the file reader, and one shuffle per step is enough.
+    Sessions are split into runs of ``bucket_lines`` line numbers. Pass None when each session is one file read as a
+    whole: its size is then bounded by the file reader, and one shuffle per step is enough.
     """
-    return events_from_lines(to_lines(chunks), bucket_lines, hot_lines, stage)
+    return events_from_lines(to_lines(chunks), bucket_lines, stage)
+
 
+def parse_files(sessions: DataFrame, stage: Stage = written, with_path: bool = False) -> DataFrame:
+    """Parse sessions that are whole files (the file source holds a file in one row of at most 2 GB).
 
-def parse_files(sessions: DataFrame, stage: Stage = written) -> DataFrame:
-    """Parse sessions that are whole files (the file source holds a file in one row of at most 2 GB)."""
-    return parse_sessions(sessions, bucket_lines=None, stage=stage)
+    A file is parsed by itself: its path tells it apart, so files of one name in different folders do not mix.
+    """
+    events = parse_sessions(sessions.withColumn("session_id", F.col("path")), bucket_lines=None, stage=stage)
+    named = events.withColumn("path", F.col("session_id")).withColumn("session_id", last_path_part(F.col("session_id")))
+    return named if with_path else named.drop("path")
 
 
 def with_json_columns(events: DataFrame) -> DataFrame:

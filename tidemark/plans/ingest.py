@@ -7,17 +7,21 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.lineage import written
-from tidemark.operators.joins import keys_absent
+from tidemark.lineage import new_folder, staged, written
+from tidemark.operators.joins import join_on, keys_absent
 from tidemark.operators.sessionlog import parse_files
 from tidemark.schemas import LEDGER
 from tidemark.sources.sessions import list_sessions, read_sessions
 from tidemark.sources.tables import write_by, write_table
 
 
-def new_files(files: DataFrame, ledger: DataFrame, cap: int = 5000) -> DataFrame:
-    """The first ``cap`` paths that the ledger does not know. The ledger grows, so it is joined, not broadcast."""
-    return keys_absent(files.select("path"), ledger, ["path"]).orderBy("path").limit(cap)
+def new_files(files: DataFrame, ledger: DataFrame, cap: int | None = None) -> DataFrame:
+    """All paths that the ledger does not know; with a ``cap`` the first of them by name, for runs of bounded length.
+
+    The ledger grows, so it is joined, not broadcast.
+    """
+    unknown = keys_absent(files.select("path"), ledger, ["path"])
+    return unknown if cap is None else unknown.orderBy("path").limit(cap)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -30,26 +34,28 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_new_sessions(
-    spark: SparkSession, source: str, event_path: str, ledger_path: str, as_of: datetime, cap: int = 5000
+    spark: SparkSession, source: str, event_path: str, ledger_path: str, as_of: datetime, cap: int | None = None
 ) -> DataFrame:
     """One run: pick new files, append their events, then append them to the ledger.
 
     Events are appended before the ledger, so a crash in between repeats files on the next run; readers drop
     the copies with latest_by_key or dedup_events. Returns the ledger rows this run added.
     """
-    picked = written(new_files(list_sessions(spark, source), read_ledger(spark, ledger_path), cap), "picked")
-    texts = read_sessions(spark, source).join(F.broadcast(picked) if cap <= 10_000 else picked, "path", "left_semi")
-    parsed = written(parse_files(texts).withColumn("ingested_at", F.lit(as_of).cast("timestamp")), "parsed")
-    write_by(parsed, event_path, "event_date", mode="append", sort=("session_id", "event_seq"))
-    counts = parsed.groupBy("session_id").agg(F.count("*").alias("events_count"))
-    added = (
-        picked.withColumn("session_id", F.element_at(F.split("path", "/"), -1))
-        .join(counts, "session_id", "left")
-        .select(
+    report = new_folder(spark, "added")
+    with staged(spark):
+        picked = written(new_files(list_sessions(spark, source), read_ledger(spark, ledger_path), cap), "picked")
+        texts = join_on(read_sessions(spark, source), picked, ["path"], "left_semi")
+        parsed = written(
+            parse_files(texts, with_path=True).withColumn("ingested_at", F.lit(as_of).cast("timestamp")), "parsed"
+        )
+        write_by(parsed.drop("path"), event_path, "event_date", mode="append", sort=("session_id", "event_seq"))
+        counts = parsed.groupBy("path").agg(F.count("*").alias("events_count"))
+        added = picked.join(counts, "path", "left").select(
             "path",
             F.lit(as_of).cast("timestamp").alias("processed_at"),
             F.coalesce("events_count", F.lit(0)).cast("bigint").alias("events_count"),
         )
-    )
+        added.write.parquet(report)
+    added = spark.read.schema(LEDGER).parquet(report)
     write_table(added, ledger_path, mode="append")
     return added

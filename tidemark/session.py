@@ -13,6 +13,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.lineage import written
+from tidemark.lineage import drop_folder, staged, written
 from tidemark.operators import adtape
 from tidemark.operators.medallion import latest_by_key
 from tidemark.operators.sessionlog import parse_files
@@ -71,19 +71,27 @@ def start_ingest(
 def start_latest(
     stream: DataFrame, keys: Sequence[str], version: str, target: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Keep the newest row per key of each batch; read_latest() merges the batches."""
+    """Keep the newest row per key. Each batch merges the state of the one before; older states are removed, so a reader
+    finds one table that grows with the keys alone."""
 
     def write(rows: DataFrame, batch: int) -> None:
-        _replace_batch(latest_by_key(rows, keys, version), target, batch)
+        known = rows.withColumn("batch", F.lit(batch)).unionByName(
+            _carried(rows.sparkSession, target, batch, rows.schema).withColumn("batch", F.lit(batch - 1))
+        )
+        _replace_batch(latest_by_key(known, keys, version, ["batch"]).drop("batch"), target, batch)
+        drop_folder(rows.sparkSession, f"{target}/batch={batch - 2}")
 
     return start_batches(stream, write, checkpoint, every=every)
 
 
-def read_latest(spark: SparkSession, target: str, keys: Sequence[str], version: str) -> DataFrame:
-    return latest_by_key(spark.read.parquet(target), keys, version, ["batch"]).drop("batch")
+def read_latest(spark: SparkSession, target: str) -> DataFrame:
+    """The newest state that start_latest() has written."""
+    stored = spark.read.parquet(target)
+    return stored.filter(F.col("batch") == stored.agg(F.max("batch")).scalar()).drop("batch")
 
 
 def _carried(spark: SparkSession, folder: str, batch: int, schema) -> DataFrame:
+    """What the batch before left; that stays until the next batch is through, so a batch can be repeated."""
     if batch == 0:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{folder}/batch={batch - 1}")
@@ -98,41 +106,45 @@ def start_attribution(
     click_us: int = 7 * adtape.DAY,
     view_us: int = 24 * adtape.HOUR,
     grain_us: int = adtape.GRAIN,
+    late_us: int = 7 * adtape.DAY,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Attribute conversions as they arrive.
+    """Attribute conversions as they arrive, and again when late touches arrive; read_attribution() shows the last answer.
 
-    The latest impression per (device, ad) and the latest touches per (device, campaign) are carried between
-    batches as a small table and enter the next batch as rows in front of it, so a batch runs the same
-    skew-safe operators as the batch job and no click is paired with every conversion. Touches older than the
-    longest look-back are let go. Batches must arrive in time order; inside a batch any order will do.
+    The rows of the look-back plus ``late_us`` are carried between batches. A batch brings the carried rows of its own
+    devices together with its new rows in any order, runs the same skew-safe operators as the batch job over both, and
+    writes the conversions among them that are new or at most ``late_us`` old. So rows may be late by ``late_us``, across
+    batches too. What is carried is bounded by the look-back, and nothing pairs a click with every conversion.
     """
     columns = ["event_id", "device_id", "ad_id", "campaign_id", "ts_us", "event_type"]
-    longest = max(impression_us, click_us, view_us)
+    horizon = late_us + max(click_us, view_us) + impression_us
 
     def write(rows: DataFrame, batch: int) -> None:
-        tape = written(rows.select(*columns).withColumn("valid_click", F.lit(None).cast("boolean")), "tape-batch")
-        before = _carried(rows.sparkSession, carry, batch, tape.schema)
-        known = tape.withColumn("fresh", F.lit(True)).unionByName(before.withColumn("fresh", F.lit(False)))
-        seen = adtape.with_impression_lag(known, impression_us, grain_us)
-        is_click = adtape.is_type("click")
-        ruled = written(
-            seen.withColumn("valid_click", F.coalesce("valid_click", is_click & F.col("has_impression"))), "tape-ruled"
-        )
-        credited = adtape.attribute(ruled, click_us, view_us, grain_us)
-        fresh = credited.filter(F.col("fresh") & adtape.is_type("conversion"))
-        _replace_batch(
-            fresh.select("event_id", "device_id", "campaign_id", "ts_us", "attributed_us", "source"), target, batch
-        )
-        # One impression per (device, ad, campaign) and one valid click per (device, campaign) are enough.
-        newest = ruled.agg(F.max("ts_us")).scalar()
-        touches = ruled.filter(adtape.is_type("impression") | F.col("valid_click")).filter(
-            F.col("ts_us") >= newest - longest
-        )
-        scoped = touches.withColumn("ad_id", F.when(adtape.is_type("impression"), F.col("ad_id")))
-        kept = scoped.groupBy("device_id", "ad_id", "campaign_id", "event_type").agg(
-            F.max("ts_us").alias("ts_us"), F.max("valid_click").alias("valid_click")
-        )
-        _replace_batch(kept.withColumn("event_id", F.lit(None).cast("bigint")).select(*tape.columns), carry, batch)
+        spark = rows.sparkSession
+        with staged(spark):
+            fresh = written(rows.select(*columns).withColumn("fresh", F.lit(True)), "tape-fresh")
+            before = _carried(spark, carry, batch, rows.select(*columns).schema).withColumn("fresh", F.lit(False))
+            # A batch that repeats carried rows (a source that was replayed) must not count them twice.
+            before = before.join(fresh.select("event_id"), "event_id", "left_anti").select(*fresh.columns)
+            mine = before.join(fresh.select("device_id").distinct(), "device_id", "left_semi").select(*fresh.columns)
+            known = written(fresh.unionByName(mine), "tape-known")
+            newest = fresh.select("ts_us").unionByName(before.select("ts_us")).agg(F.max("ts_us")).scalar()
+            seen = adtape.with_impression_lag(known, impression_us, grain_us)
+            is_click = adtape.is_type("click")
+            ruled = written(seen.withColumn("valid_click", is_click & F.col("has_impression")), "tape-ruled")
+            credited = adtape.attribute(ruled, click_us, view_us, grain_us)
+            due = F.col("fresh") | (F.col("ts_us") >= newest - late_us)
+            answers = credited.filter(due & adtape.is_type("conversion"))
+            _replace_batch(
+                answers.select("event_id", "device_id", "campaign_id", "ts_us", "attributed_us", "source"), target, batch
+            )
+            kept = fresh.unionByName(before).filter(F.col("ts_us") >= newest - horizon)
+            _replace_batch(kept.select(*columns), carry, batch)
+        drop_folder(spark, f"{carry}/batch={batch - 2}")
 
     return start_batches(stream, write, checkpoint, every=every)
+
+
+def read_attribution(spark: SparkSession, target: str) -> DataFrame:
+    """The last answer for each conversion."""
+    return latest_by_key(spark.read.parquet(target), ["event_id"], "batch").drop("batch")

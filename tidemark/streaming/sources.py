@@ -18,6 +18,15 @@ def stream_files(
     return reader.load(path)
 
 
+def stream_table(spark: SparkSession, path: str, schema: StructType, max_files: int = 5000) -> DataFrame:
+    """A parquet table as a stream: a folder of part files, or one file. The file source wants a folder, so a single file
+    is picked out of its own."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if root.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(root).isDirectory():
+        return stream_files(spark, path, schema, max_files=max_files)
+    return stream_files(spark, root.getParent().toString(), schema, max_files=max_files, glob=root.getName())
+
+
 def stream_session_files(spark: SparkSession, path: str, max_files: int = 5000) -> DataFrame:
     """New raw session files as bytes."""
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE).option("maxFilesPerTrigger", max_files)

@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE = "impressions bigint, clicks bigint, last_impression_us bigint"
+STATE = "impressions bigint, clicks bigint, last_impression_us bigint, born bigint"
 NEVER = -1
 
 
 class TouchCounter(StatefulProcessor):
-    """Impressions, clicks and the latest impression of one key. The result does not depend on arrival order."""
+    """Impressions, clicks and the latest impression of one key. The result does not depend on arrival order.
+
+    State that comes back after its time to live starts at zero under a new birth time, so totals add up over births.
+    """
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
@@ -24,18 +26,19 @@ class TouchCounter(StatefulProcessor):
         self.touches = handle.getValueState("touches", STATE, ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        shown, clicked, last = self.touches.get() if self.touches.exists() else (0, 0, NEVER)
+        fresh = (0, 0, NEVER, timerValues.getCurrentProcessingTimeInMs())
+        shown, clicked, last, born = self.touches.get() if self.touches.exists() else fresh
         for batch in rows:
             impressions = batch.loc[batch["event_type"] == "impression", "ts_us"]
             shown += len(impressions)
             clicked += int((batch["event_type"] == "click").sum())
             last = max(last, int(impressions.max())) if len(impressions) else last
-        self.touches.update((shown, clicked, last))
+        self.touches.update((shown, clicked, last, born))
         device_id, ad_id, shard = key
         yield pd.DataFrame(
             {
                 "device_id": [device_id], "ad_id": [ad_id], "shard": [shard],
-                "impressions": [shown], "clicks": [clicked], "last_impression_us": [last],
+                "impressions": [shown], "clicks": [clicked], "last_impression_us": [last], "born": [born],
             }
         )
 
@@ -46,9 +49,9 @@ class TouchCounter(StatefulProcessor):
 def click_state(stream: DataFrame, ttl_ms: int, shards: int = 64) -> DataFrame:
     """Running touch counts per (device, ad, shard) in update mode; idle keys are cleared after ``ttl_ms``.
 
-    Shards spread a hot device over tasks; fold_click_state() adds them up.
+    Shards spread a hot device over tasks; fold_click_state() adds them up. The session must use the RocksDB state store,
+    which session.prepare() sets.
     """
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spread = stream.withColumn("shard", F.pmod(F.xxhash64("event_id"), F.lit(shards)).cast("int"))
     ad_type = stream.schema["ad_id"].dataType.simpleString()
     return (
@@ -64,8 +67,8 @@ def click_state(stream: DataFrame, ttl_ms: int, shards: int = 64) -> DataFrame:
 
 
 def fold_click_state(updates: DataFrame) -> DataFrame:
-    """Counts per (device, ad) from state updates; within one time to live the counts of a shard only grow."""
-    per_shard = updates.groupBy("device_id", "ad_id", "shard").agg(
+    """Counts per (device, ad) from state updates; from one birth of a shard's state on, its counts only grow."""
+    per_shard = updates.groupBy("device_id", "ad_id", "shard", "born").agg(
         F.max("impressions").alias("impressions"),
         F.max("clicks").alias("clicks"),
         F.max("last_impression_us").alias("last_impression_us"),
