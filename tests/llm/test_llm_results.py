@@ -211,6 +211,7 @@ def test_elias_fano_sequence():
         assert (s.get(np.arange(len(keys))) == keys).all()
         probes = np.concatenate([keys, keys + 1, keys - 1, [0, 1 << 62]])
         assert (s.rank(probes) == np.searchsorted(keys, probes)).all()
+        assert (s.find(probes) == [np.searchsorted(keys, p) if p in set(keys.tolist()) else -1 for p in probes]).all()
 
 
 def test_language_model_matches_plain_counts(spark, sf_dir, docs):

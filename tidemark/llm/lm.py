@@ -36,10 +36,13 @@ from tidemark.llm.common import arrow_schema, fold, fold_of, ragged_sums, rows_o
 END = b"\n"  # no word holds white space, so this cannot be one
 FLOOR, STEPS = -16.0, 65535  # stored log10 probabilities reach from FLOOR to 0 in so many steps
 PER_BUCKET = 8
+SLICE = 4096  # texts that are looked up together
+TASK_KEYS = 4_000_000  # keys that a task counts by itself before it sends them on
 
 
-def hashed(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) >> 1
+def hashes_of(some) -> np.ndarray:
+    found = np.fromiter(map(xxhash.xxh64_intdigest, some), np.uint64, len(some))
+    return (found >> np.uint64(1)).astype(np.int64)
 
 
 def code(log10: np.ndarray) -> np.ndarray:
@@ -89,6 +92,17 @@ class Sequence:
 
     def rank(self, keys: np.ndarray) -> np.ndarray:
         """How many numbers are smaller than each key: the place of its successor."""
+        return self._search(keys)[0]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        place, end, wanted = self._search(keys)
+        inside = place < end
+        hit = self.low_at(np.where(inside, place, 0)) == wanted
+        return np.where(inside & hit, place, -1)
+
+    def _search(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each key's successor, the end of the key's bucket, and its low bits."""
         away = keys - self.first
         high = away >> self.width
         buckets = len(self.starts) - 1
@@ -96,6 +110,7 @@ class Sequence:
         bucket = np.where(inside, high, 0)
         left = np.where(inside, self.starts[bucket], np.where(away < 0, 0, self.n)).astype(np.int64)
         right = np.where(inside, self.starts[bucket + 1], left).astype(np.int64)
+        end = right.copy()
         wanted = (away & ((1 << self.width) - 1)).astype(np.uint64)
         active = np.flatnonzero(left < right)
         while len(active):
@@ -104,7 +119,7 @@ class Sequence:
             left[active] = np.where(less, middle + 1, left[active])
             right[active] = np.where(less, right[active], middle)
             active = active[left[active] < right[active]]
-        return left
+        return left, end, wanted
 
 
 # ---- shards in the shared folder
@@ -174,8 +189,11 @@ class Level:
     size: int
 
     def _by_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        for s in np.unique(shard).tolist():
-            yield s, np.flatnonzero(shard == s)
+        """Each shard that occurs, with the places where it does."""
+        order = np.argsort(shard, kind="stable")
+        cuts = np.flatnonzero(np.diff(shard[order], prepend=-1, append=-1))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield int(shard[order[a]]), order[a:b]
 
     def rank(self, keys: np.ndarray) -> np.ndarray:
         """How many keys of the level are smaller."""
@@ -204,8 +222,11 @@ class Level:
         """The node of each key, or -1."""
         if not self.size or not len(keys):
             return np.full(len(keys), -1, np.int64)
-        near = np.minimum(self.rank(keys), self.size - 1)
-        return np.where(self.get(near) == keys, near, -1)
+        result = np.full(len(keys), -1, np.int64)
+        for s, rows in self._by_shard(np.maximum(np.searchsorted(self.firsts, keys, side="right") - 1, 0)):
+            place = Sequence(read_shard(self.uris[s])).find(keys[rows])
+            result[rows] = np.where(place >= 0, place + self.bases[s], -1)
+        return result
 
 
 def write_level(rows: DataFrame, folder: str, partitions: int, values) -> Level:
@@ -259,9 +280,10 @@ class Model:
         """Word ids (-1 unknown) and counts of all tokens of some texts, ends included, and each text's first place."""
         split = [[*words(t), END] for t in values]
         offsets = np.concatenate([[0], np.cumsum([len(s) for s in split])])
-        place: dict[bytes, int] = {}
-        local = np.fromiter((place.setdefault(w, len(place)) for w in chain.from_iterable(split)), np.int64, int(offsets[-1]))
-        hashes = np.fromiter(map(hashed, place), np.int64, len(place))
+        distinct = set(chain.from_iterable(split))
+        place = dict(zip(distinct, range(len(distinct))))
+        local = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), np.int32, int(offsets[-1]))
+        hashes = hashes_of(place)
         ids = self.words.find(hashes)
         counts = np.zeros(len(ids), np.int64)
         if (ids >= 0).any():
@@ -328,13 +350,34 @@ def training(docs: DataFrame, folds: int, held: int) -> DataFrame:
     return texts(docs).filter(fold(F.col("doc_id"), folds) != held)
 
 
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(back, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
+def slices(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(keys), 1 << 16):
+        part = slice(at, at + (1 << 16))
+        yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(n[part].astype(np.int32))], names=["key", "n"])
+
+
 def counted_keys(docs: DataFrame, keys_of, least: int) -> DataFrame:
     """key, n over all documents, for keys seen at least ``least`` times. ``keys_of`` maps texts to an array of keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, values in rows_of(batches, 8192):
-            keys, n = np.unique(keys_of(values), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int32))], names=["key", "n"])
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for _, values in rows_of(batches, SLICE):
+            held.append(np.unique(keys_of(values), return_counts=True))
+            size += len(held[-1][0])
+            if size > TASK_KEYS:
+                held = [merged(held)]
+                size = len(held[0][0])
+                if 2 * size > TASK_KEYS:
+                    yield from slices(*held.pop())
+                    size = 0
+        if held:
+            yield from slices(*merged(held))
 
     made = docs.mapInArrow(run, "key long, n int")
     return made.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
@@ -348,11 +391,20 @@ def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 2, discou
     nothing = Level((), np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
 
     def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, values in rows_of(batches, 8192):
-            seen = Counter(chain.from_iterable(map(words, values)))
+        seen: Counter[bytes] = Counter()
+
+        def counted() -> pa.RecordBatch:
+            columns = [pa.array(hashes_of(seen)), pa.array(list(seen.values()), pa.int64())]
+            seen.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["key", "n"])
+
+        for _, values in rows_of(batches, SLICE):
+            seen.update(chain.from_iterable(map(words, values)))
             seen[END] += len(values)
-            hashes = np.fromiter(map(hashed, seen), np.int64, len(seen))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(seen.values()), pa.int64())], names=["key", "n"])
+            if len(seen) > TASK_KEYS // 8:
+                yield counted()
+        if seen:
+            yield counted()
 
     unigrams = stage(learned.mapInArrow(word_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
     facts = unigrams.agg(F.sum("n").alias("tokens"), F.count_if(F.col("n") == 1).alias("singles")).first()
@@ -432,7 +484,7 @@ def score(docs: DataFrame, model: Model, folds: int = 7, held: int = 2) -> DataF
     n, v = model.tokens, model.words.size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, values in rows_of(batches, 4096):
+        for doc_ids, values in rows_of(batches, SLICE):
             ids, counts, offsets = model.look_up(values)
             size = np.diff(offsets)
             plain = np.log10((counts + 1) / (n + v + 1))
