@@ -86,3 +86,21 @@ def test_refresh_hot_then_cold_equals_full(spark, sf_dir, tmp_path):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
         refresh_mart(spark, source, path, mart, as_of, "full")
         assert spark.read.parquet(path).select(*want.columns).count() == want.count()
+
+
+def test_refresh_removes_days_without_rows(spark, tmp_path):
+    from datetime import datetime
+
+    from tidemark.plans.refresh import refresh_mart
+
+    kinds = (
+        "session_id string, event_seq int, event_type string, event_date date, search_kind string, doc_id string, "
+        "result_doc_ids array<string>, ingested_at timestamp"
+    )
+    rows = [("s", i, "DOC_OPEN", date(2024, 1, d), "QS", "x", [], datetime(2024, 1, d)) for i, d in enumerate((5, 28, 29))]
+    source, mart = str(tmp_path / "events"), str(tmp_path / "mart")
+    write_by(spark.createDataFrame(rows, kinds), source, "event_date")
+    refresh_mart(spark, source, mart, "qs_opens", datetime(2024, 1, 30), "full")
+    spark.createDataFrame(rows[:2], kinds).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date").parquet(source)
+    refresh_mart(spark, source, mart, "qs_opens", datetime(2024, 1, 31), "hot")
+    assert sorted(r.open_date.day for r in spark.read.parquet(mart).collect()) == [5, 28]

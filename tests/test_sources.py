@@ -145,3 +145,9 @@ def test_staged_tables_go_with_their_scope(spark, tmp_path):
         (path,) = {os.path.dirname(f.removeprefix("file://")) for f in kept.inputFiles()}
         assert os.path.isdir(path) and kept.count() == 3
     assert not os.path.exists(path)
+
+
+def test_export_drops_copies_and_files_undated_rows(spark, tmp_path):
+    rows = [(1, date(2024, 1, 1)), (1, date(2024, 1, 1)), (2, None)]
+    S.write_export(spark.createDataFrame(rows, "id int, day date"), str(tmp_path / "e"), "day", keys=["id"], undated=True)
+    assert sorted((r.id, r.part) for r in spark.read.parquet(str(tmp_path / "e")).collect()) == [(1, 20240101), (2, 19700101)]

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.bridges import session_chunks
 from tidemark.catalog.registry import built_once, query, table
 from tidemark.functions.times import parse_time
+from tidemark.lineage import new_folder
 from tidemark.operators import logprofile, medallion
 from tidemark.operators.loglines import classify, to_lines
 from tidemark.operators.sessionlog import parse_sessions, with_json_columns
 from tidemark.plans import dashboard
 from tidemark.plans.ingest import new_files
+from tidemark.plans.refresh import refresh_mart
 from tidemark.schemas import EVENT_TABLE
 from tidemark.sources.tables import write_by
 
@@ -363,6 +365,17 @@ def gold_opens_cold(spark, sf_dir):
     return medallion.qs_opens_daily(events(spark, sf_dir), until=medallion.hot_since(AS_OF.date(), HOT_DAYS))
 
 
+@query("mart_refresh", PARSED + f"SELECT {DAY.format('date')} AS date, doc_id, hits FROM hits")
+def mart_refresh(spark, sf_dir):
+    """The hot and the cold run of the recurring job, over events that are stored twice."""
+    source, mart = new_folder(spark, "mart-events"), new_folder(spark, "mart-hits")
+    for _ in range(2):
+        write_by(events(spark, sf_dir).withColumn("ingested_at", F.col("event_time")), source, "event_date", mode="append")
+    for mode in ("hot", "cold"):
+        refresh_mart(spark, source, mart, "card_hits", AS_OF, mode, HOT_DAYS)
+    return spark.read.parquet(mart).select("date", "doc_id", "hits")
+
+
 @query("gold_full_from_hot_and_cold", PARSED + OPENS_ROW)
 def gold_full_from_hot_and_cold(spark, sf_dir):
     cut = medallion.hot_since(AS_OF.date(), HOT_DAYS)

@@ -127,7 +127,9 @@ def append_then_read(spark, sf_dir):
 def _exports(spark, sf_dir):
     """The three exports: events by day, both marts by month."""
     folders = {name: new_folder(spark, f"export-{name}") for name in ("events", "card_hits", "qs_opens")}
-    write_export(events(spark, sf_dir), folders["events"], "event_date", "day")
+    write_export(
+        events(spark, sf_dir), folders["events"], "event_date", "day", keys=("session_id", "event_seq"), undated=True
+    )
     write_export(card_hits(spark, sf_dir), folders["card_hits"], "date", "month")
     write_export(qs_opens(spark, sf_dir), folders["qs_opens"], "open_date", "month")
     return folders
@@ -136,8 +138,8 @@ def _exports(spark, sf_dir):
 @query(
     "export_daily_parquet",
     PARSED + """
-SELECT 'events' AS export, CAST(strftime(event_date, '%Y%m%d') AS INT) AS part, count(*) AS n FROM bronze
-WHERE event_date IS NOT NULL GROUP BY ALL
+SELECT 'events' AS export, CAST(strftime(coalesce(event_date, DATE '1970-01-01'), '%Y%m%d') AS INT) AS part, count(*) AS n
+FROM bronze GROUP BY ALL
 UNION ALL SELECT 'card_hits', CAST(strftime(date, '%Y%m') AS INT), count(*) FROM hits GROUP BY ALL
 UNION ALL SELECT 'qs_opens', CAST(strftime(open_date, '%Y%m') AS INT), count(*) FROM opens GROUP BY ALL""",
 )
@@ -150,11 +152,19 @@ def export_daily_parquet(spark, sf_dir):
     return result
 
 
-@query("export_file_count")
+# The number of files depends on their layout; that each part has one does not.
+@query(
+    "export_file_count",
+    PARSED + """
+SELECT 'events' AS export, count(DISTINCT coalesce(event_date, DATE '1970-01-01')) AS parts, true AS enough FROM bronze
+UNION ALL SELECT 'card_hits', count(DISTINCT date_trunc('month', date)), true FROM hits
+UNION ALL SELECT 'qs_opens', count(DISTINCT date_trunc('month', open_date)), true FROM opens""",
+)
 def export_file_count(spark, sf_dir):
     result = None
     for name, folder in _exports(spark, sf_dir).items():
-        counted = file_count(spark, folder).select(F.lit(name).alias("export"), "files")
+        counted = file_count(spark, folder, "part").agg(F.count("*").alias("parts"), F.min("files").alias("least"))
+        counted = counted.select(F.lit(name).alias("export"), "parts", (F.col("least") > 0).alias("enough"))
         result = counted if result is None else result.unionByName(counted)
     return result
 
@@ -189,7 +199,11 @@ def partitioned_table(spark, sf_dir):
     return recent.groupBy("event_date").agg(F.count("*").alias("n"))
 
 
-@query("storage_report")
+@query(
+    "storage_report",
+    "SELECT * FROM (VALUES ('csv', true, 1.0), ('json', true, NULL), ('orc', true, NULL), ('parquet-snappy', true, NULL), "
+    "('parquet-zstd', true, NULL)) AS t(label, stored, base_ratio)",
+)
 def storage_report_query(spark, sf_dir):
     paths = {}
     for label, fmt, codec in (
@@ -198,4 +212,6 @@ def storage_report_query(spark, sf_dir):
     ):
         paths[label] = new_folder(spark, label)
         write_table(corpus(table(spark, sf_dir, "documents")), paths[label], fmt, codec=codec)
-    return storage_report(spark, paths, base="csv")
+    report = storage_report(spark, paths, base="csv")
+    base_ratio = F.when(F.col("label") == "csv", F.col("ratio"))
+    return report.select("label", (F.col("bytes") > 0).alias("stored"), base_ratio.alias("base_ratio"))

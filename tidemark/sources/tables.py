@@ -125,19 +125,30 @@ def create_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioned}{placed}")
 
 
-def write_export(df: DataFrame, path: str, date_column: str, grain: str = "day") -> None:
-    """Replace the export under ``path``: one directory per day or month; rows without a date stay out."""
+UNDATED = "1970-01-01"  # fixed value: the day that rows without a date are filed under
+
+
+def write_export(
+    df: DataFrame, path: str, date_column: str, grain: str = "day", keys: Sequence[str] = (), undated: bool = False
+) -> None:
+    """Replace the export under ``path``: one directory per day or month.
+
+    With ``keys`` only one row of each key is exported, so replayed events do not repeat. Rows without a date stay out,
+    or with ``undated`` go to the directory of 1970-01-01.
+    """
     key = {"day": day_key, "month": month_key}[grain]
-    dated = df.filter(F.col(date_column).isNotNull()).withColumn("part", key(F.col(date_column)))
+    rows = df.dropDuplicates(list(keys)) if keys else df
+    day = F.coalesce(F.col(date_column), F.lit(UNDATED).cast("date")) if undated else F.col(date_column)
+    dated = rows.filter(day.isNotNull()).withColumn("part", key(day))
     dated.hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         "part"
     ).parquet(path)
 
 
-def file_count(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Number of non-empty data files behind a table."""
-    files = spark.read.format(fmt).load(path).select(F.col("_metadata.file_path").alias("file"))
-    return files.agg(F.countDistinct("file").alias("files"))
+def file_count(spark: SparkSession, path: str, *by: str, fmt: str = "parquet") -> DataFrame:
+    """Number of non-empty data files behind a table, or behind each value of its partition columns ``by``."""
+    files = spark.read.format(fmt).load(path).select(*by, F.col("_metadata.file_path").alias("file"))
+    return files.groupBy(*by).agg(F.countDistinct("file").alias("files"))
 
 
 def storage_report(spark: SparkSession, paths: dict[str, str], base: str) -> DataFrame:
