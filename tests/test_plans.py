@@ -87,3 +87,12 @@ def test_no_cross_joins_and_no_python_in_native_queries(spark, sf_dir):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         if name != "attribution_scan":
             assert "Python" not in plan and "Pandas" not in plan, name
+
+
+def test_running_steps_read_twice_and_shuffle_three_times(spark, sf_dir):
+    """The initial plans of the tape's last rule and of the session numbering, whatever the size of the data."""
+    from tidemark.catalog import adtape
+
+    for plan in (physical(adtape.attributed(spark, sf_dir)), physical(REGISTRY["parse_sessions"].build(spark, sf_dir))):
+        initial = plan.split("== Initial Plan ==")[-1]
+        assert initial.count("FileScan") <= 4 and initial.count("Exchange hashpartitioning") <= 6

@@ -493,3 +493,9 @@ def union_all(spark, sf_dir):
 @query("distinct_keys", "SELECT DISTINCT l_suppkey FROM lineitem")
 def distinct_keys(spark, sf_dir):
     return relational.distinct_keys(table(spark, sf_dir, "lineitem"), "l_suppkey")
+
+
+# A plain limit promises a number of rows, not which ones.
+@query("plain_limit", "SELECT count(*) AS n FROM (SELECT l_orderkey FROM lineitem LIMIT 1000)")
+def plain_limit(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").select("l_orderkey").limit(1000).agg(F.count("*").alias("n"))
