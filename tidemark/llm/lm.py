@@ -36,8 +36,8 @@ from tidemark.llm.common import arrow_schema, fold, fold_of, ragged_sums, rows_o
 END = b"\n"  # no word holds white space, so this cannot be one
 FLOOR, STEPS = -16.0, 65535  # stored log10 probabilities reach from FLOOR to 0 in so many steps
 PER_BUCKET = 8
-SLICE = 4096  # texts that are looked up together
-TASK_KEYS = 4_000_000  # keys that a task counts by itself before it sends them on
+SLICE = 1024  # texts that are looked up together
+TASK_KEYS = 1_000_000  # keys that a task counts by itself before it sends them on
 
 
 def hashes_of(some) -> np.ndarray:
