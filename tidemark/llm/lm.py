@@ -1,7 +1,7 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-Counting. Words are counted over all training texts. Bigrams of words seen twice, and trigrams whose two bigrams are kept,
-are counted next; bigrams and trigrams seen once are pruned (``least``), as is usual for such models.
+Counting. Words are counted over all training texts, then bigrams, then trigrams. All are kept; a caller may prune bigrams
+and trigrams seen fewer than ``least`` times, and then trigrams are counted only where their two bigrams are kept.
 
 Trie. A level is a sorted set of keys: words by hash; bigrams by (word, next word); trigrams by (bigram, place of the last
 word among the successors of the middle one), so the last key part is small: it is relative to its context. Each level
@@ -383,8 +383,8 @@ def counted_keys(docs: DataFrame, keys_of, least: int) -> DataFrame:
     return made.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 2, discount: float = 0.75) -> Model:
-    """Learn from the documents outside the held-out fold; all of them are counted."""
+def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discount: float = 0.75) -> Model:
+    """Learn from the documents outside the held-out fold; all of them are counted, and all their n-grams unless ``least`` > 1."""
     spark = docs.sparkSession
     folder, partitions = new_folder(spark, "ngram-trie"), shuffle_partitions(spark)
     learned = training(docs, folds, held)
