@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 
+import corpus_pipeline
 from tidemark.llm import lm
 from tidemark.llm.common import fold_of, words
 
@@ -32,3 +33,24 @@ def test_language_model_keeps_ngrams_seen_once(spark):
     for i, t in [*zip(learned, split), (asked, [*words("a b c f e new d c"), lm.END])]:
         want = sum(np.log10(p(tuple(t[max(0, k - 2) : k]), w)) for k, w in enumerate(t))
         assert abs(found[i] - want) < 3e-4 * len(t)
+
+
+def test_near_copies_stage_links_every_similar_pair(spark, sf_dir):
+    rng = np.random.default_rng(5)
+    made = []
+    for _ in range(25):
+        base = rng.integers(0, 400, 120)
+        for changes in (0, 1, 1, 2, 3, 4, 6, 9):
+            copy = base.copy()
+            copy[rng.integers(0, 120, changes)] = rng.integers(400, 800, changes)
+            made.append(" ".join(map(str, copy)))
+    sets = [{t[k : k + 5] for k in range(len(t) - 4)} for t in map(tuple, map(str.split, made))]
+    group = list(range(len(made)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if len(x & y) >= 0.8 * len(x | y):
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    docs = spark.createDataFrame([*enumerate(made)], "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()}
+    assert kept == set(group) and 25 <= len(kept) < 125
