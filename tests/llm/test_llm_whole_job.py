@@ -54,3 +54,11 @@ def test_near_copies_stage_links_every_similar_pair(spark, sf_dir):
     docs = spark.createDataFrame([*enumerate(made)], "doc_id long, text string")
     kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()}
     assert kept == set(group) and 25 <= len(kept) < 125
+
+
+def test_near_copies_stage_goes_by_text_not_by_id(spark, sf_dir):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(30)) for w in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, b), (None, a), (None, "only here"), (None, "only here"), (4, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()), key=str)
+    assert kept == sorted([(1, a), (2, b), (3, c), (None, "only here"), (4, None)], key=str)
