@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, lm, neighbours, packing, pieces, ranking, simhash, token_counts, toxicity, url_filters
-from tidemark.llm.common import table
+from tidemark.llm import fingerprints, lm, neighbours, packing, pieces, ranking, runs, simhash, token_counts, toxicity, url_filters
+from tidemark.llm.common import fold_of, table
 
 Build = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Build] = {}
@@ -102,3 +103,34 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def repeated_tail(doc_id: int | None, n: int) -> np.ndarray | None:
+    """For one id in ten by hash: from some word on, the words repeat with some period. None: the words as they are."""
+    h = fold_of(doc_id, 1 << 32)
+    g = h // 10
+    if h % 10 or not n:
+        return None
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    order = np.arange(n)
+    order[first:] = first + (order[first:] - first) % period
+    return order
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), edit=repeated_tail)
+    best = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    made = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed")
+    return made.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
