@@ -8,7 +8,20 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, lm, neighbours, packing, pieces, ranking, runs, simhash, token_counts, toxicity, url_filters
+from tidemark.llm import (
+    fingerprints,
+    lm,
+    neighbours,
+    packing,
+    pieces,
+    ranking,
+    repair,
+    runs,
+    simhash,
+    token_counts,
+    toxicity,
+    url_filters,
+)
 from tidemark.llm.common import fold_of, table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +147,18 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("lines", 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults: by a hash of id and turn a row is dropped, emptied, cut, repeated or given the role user."""
+    told = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat_ws(":", *told).cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    cut = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    copies = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    return rows.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"), cut.alias("text"), copies.alias("copies"))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(damaged(table(spark, sf_dir, "conversations")), "copies")
