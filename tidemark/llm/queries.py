@@ -12,6 +12,7 @@ from tidemark.llm import (
     fingerprints,
     lm,
     neighbours,
+    odd_sketches,
     packing,
     pieces,
     ranking,
@@ -162,3 +163,8 @@ def damaged(rows: DataFrame) -> DataFrame:
 @query("op12_conversation_repair")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(damaged(table(spark, sf_dir, "conversations")), "copies")
+
+
+@query("op13_odd_sketch_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketches.near_duplicates(table(spark, sf_dir, "documents"))
