@@ -9,8 +9,9 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, lm, neighbours, packing, pieces, simhash
+from tidemark.llm import bpe, fingerprints, lm, neighbours, packing, pieces, simhash, toxicity
 from tidemark.llm.common import words
 from tidemark.llm.queries import ORACLES, QUERIES, tokenizer
 
@@ -55,6 +56,15 @@ def test_classifier_folds_and_scores(spark, sf_dir, name, label, folds, held):
     assert np.mean(hits) > 0.85
 
 
+def test_toxicity_without_signal(spark, sf_dir):
+    """Few labels, or labels that tell nothing: clean documents stay."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    clean = docs.join(labels.filter("toxic = 0"), "doc_id", "left_semi")
+    assert toxicity.clean(docs, labels).join(clean.select("doc_id"), "doc_id").count() == clean.count()
+    noise = labels.withColumn("toxic", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0).cast("int"))
+    assert toxicity.clean(docs, noise).count() >= 0.9 * docs.count()
+
+
 def test_toxicity_on_held_out_labels(spark, sf_dir):
     larger = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
     if not os.path.isdir(larger):
@@ -219,8 +229,8 @@ def test_language_model_matches_plain_counts(spark, sf_dir, docs):
     tokens = {i: [*words(t), lm.END] for i, t in docs.items()}
     learned = [tokens[i] for i in docs if zlib.crc32(str(i).encode()) % 7 != 2]
     c = Counter(w for t in learned for w in t)
-    pairs = {k: v for k, v in Counter(p for t in learned for p in zip(t, t[1:])).items() if v > 1}
-    triples = {k: v for k, v in Counter(p for t in learned for p in zip(t, t[1:], t[2:])).items() if v > 1}
+    pairs = {k: v for k, v in Counter(p for t in learned for p in zip(t, t[1:])).items()}
+    triples = {k: v for k, v in Counter(p for t in learned for p in zip(t, t[1:], t[2:])).items()}
     n, v, discount = sum(c.values()), len(c), 0.75
     left, left2 = Counter(), Counter()
     for (a, _), k in pairs.items():

@@ -27,6 +27,7 @@ from tidemark.llm.components import components
 
 SEED = 42
 BLOCK = 1 << 15  # shingles hashed at once
+ROW = "simhash_row"
 
 
 def fingerprint(text: str, size: int = 3) -> int:
@@ -123,14 +124,15 @@ def near_duplicates(docs: DataFrame, size: int = 3, most: int = 2) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, size: int = 3, most: int = 2) -> DataFrame:
-    """The documents that stay: of each component the one with the smallest doc_id, with all its columns.
+    """The documents that stay: one row of each component, with all its columns.
 
-    Rows with one doc_id are one document: one row stays, and none if any of them follows a smaller id. Rows with a null
-    doc_id all stay, as nothing tells them apart.
+    It is the row with the smallest doc_id (null counts as larger than every other), then the smallest digest of the text. Ids decide
+    nothing else: rows with one id and unlike texts all stay, copies without an id go like others.
     """
-    dropped = near_duplicates(docs, size, most).filter("doc_id <> component_id").select("doc_id").distinct()
-    rest = docs.join(dropped, "doc_id", "left_anti").select(*[col(c) for c in docs.columns])
-    repeated = docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").limit(1).count() > 0
-    if not repeated:
-        return rest
-    return rest.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(rest.filter("doc_id IS NULL"))
+    rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-documents")
+    found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), col("text").alias("text")), size, most)
+    place = rows.select(ROW, col("doc_id").alias("doc_id"), F.md5(F.coalesce(col("text"), F.lit("")).cast("binary")).alias("digest"))
+    grouped = found.select(F.col("doc_id").alias(ROW), "component_id").join(place, ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", ROW))
+    stays = grouped.groupBy("component_id").agg(first[ROW].alias(ROW)).select(ROW)
+    return rows.join(stays, ROW, "left_semi").select(*[col(c) for c in docs.columns])

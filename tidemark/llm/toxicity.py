@@ -57,7 +57,7 @@ class Model:
     middle: float  # the raw score in 0..1 that becomes CUT
 
     def scores(self, found: list[set[int]]) -> np.ndarray:
-        raw = np.array([self.bias + self.weights[list(f)].sum() for f in found])
+        raw = np.array([self.bias + self.weights[sorted(f)].sum() for f in found])
         return recut(1 / (1 + np.exp(-np.clip(raw, -30, 30))), self.middle)
 
 
@@ -68,12 +68,17 @@ def recut(score: np.ndarray, middle: float) -> np.ndarray:
 
 
 def best_cut(score: np.ndarray, label: np.ndarray) -> float:
-    """Halfway between neighbouring scores where predicting 1 from there on has the best F1."""
+    """Halfway between neighbouring scores where predicting 1 from there on has the best F1.
+
+    1 (nothing is predicted) where no cut does better than predicting 1 for all: such scores tell nothing.
+    """
     order = np.argsort(-score, kind="stable")
     s, hits = score[order], np.cumsum(label[order])
     f1 = 2 * hits / (np.arange(1, len(s) + 1) + max(label.sum(), 1))
     f1[:-1][s[:-1] == s[1:]] = -1
     at = int(np.argmax(f1))
+    if f1[at] <= f1[-1]:
+        return 1.0
     return float((s[at] + s[at + 1]) / 2 if at + 1 < len(s) else s[at] / 2)
 
 
@@ -119,7 +124,8 @@ def fit(
     """Train on at most ``positives`` toxic rows (P) and ``unlabelled`` rows (U, labels unseen) of ``labels``.
 
     The class prior is the share of toxic rows among all of ``labels``. Features occur in at least ``least_documents``
-    sampled documents. Without any toxic row the model scores every text zero.
+    sampled documents, or, with fewer toxic ones than that, in as many as there are (2 at least). Without any toxic row, or where the
+    sample tells nothing about toxicity, no text is predicted toxic.
     """
     facts = labels.agg(F.avg(F.when(col(label_col) == 1, 1.0).when(col(label_col) == 0, 0.0)).alias("prior")).first()
     if not facts["prior"]:
@@ -137,6 +143,8 @@ def fit(
             )
 
     totals = drawn.mapInArrow(counted, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    toxic = drawn.filter(~F.col("in_u")).select("doc_id").distinct().count()
+    least_documents = min(least_documents, max(toxic, 2))
     known = {f: i for i, f in enumerate(sorted(r[0] for r in totals.filter(F.col("n") >= least_documents).collect()))}
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,9 +169,13 @@ def fit(
         kept, weights, bias = fit_rows([f for f, k in zip(found, parts) if k != part], in_u[parts != part], len(known), facts["prior"])
         scale = np.zeros(len(known))
         scale[kept] = weights
-        apart[parts == part] = [scale[f].sum() + bias for f, k in zip(found, parts) if k == part]
+        told = np.zeros(len(known), bool)
+        told[kept] = True
+        # A text without a kept feature gets the least score: how the parts' biases differ must not decide.
+        apart[parts == part] = [scale[f].sum() + bias if told[f].any() else -30 for f, k in zip(found, parts) if k == part]
     middle = best_cut(1 / (1 + np.exp(-np.clip(apart[in_u], -30, 30))), label[in_u] == 1)
     kept, weights, bias = fit_rows(found, in_u, len(known), facts["prior"])
+    middle = max(middle, min(1.0, 1 / (1 + np.exp(-np.clip(bias, -30, 30))) + 1e-9))
     return Model({f: n for n, f in enumerate(names[kept].tolist())}, weights, bias, middle)
 
 
