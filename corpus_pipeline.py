@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.lineage import new_folder
-from tidemark.llm import near_copies, packing, ranking, toxicity
+from tidemark.llm import packing, ranking, simhash, toxicity
 from tidemark.llm.common import table
 from tidemark.llm.queries import tokenizer
 
@@ -25,8 +25,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard similarity of 0.8 or more), the row with the smallest doc_id."""
-    return near_copies.one_of_each(docs)
+    """Of each group that SimHash links (three-word shingles, at most two differing bits), the row with the smallest doc_id."""
+    return simhash.one_of_each(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
