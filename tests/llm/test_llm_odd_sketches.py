@@ -59,7 +59,7 @@ def groups():
     return texts
 
 
-@pytest.mark.parametrize("block", [1024, 8])
+@pytest.mark.parametrize("block", [256, 8])
 def test_groups_about_the_limit(spark, monkeypatch, groups, block):
     monkeypatch.setattr(odd_sketches, "BLOCK", block)
     df = spark.createDataFrame(list(groups.items()), "doc_id long, text string").repartition(5)

@@ -8,9 +8,9 @@ sharply where few do. Candidates with more ones than similar sets have but once
 confirmed on their whole sets.
 
 Documents with equal sets are one node. Each node is confirmed first against the nearest, by sketch, of the hubs of its keys
-(the least node of each key); links make components. Then all nodes that share a key but are of unlike components are compared by sketch, in blocks
-of a key's nodes, and what may be similar is confirmed. So a large group of near copies costs little more than its size,
-no link is left out, and pairs whose ends are linked already are never measured.
+(the least node of each key); links make components. Then all nodes that share a key but are of unlike components meet, in pieces of
+bounded size, with their whole sets: pairs that the sketches let pass are measured there, nearest first, and a piece returns no more
+links than join its components. No link is left out, pairs that are linked already are never measured, and pairs are never listed.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from tidemark.llm.components import components
 SEED = 42
 SAMPLES, BANDS, ROWS, BITS = 256, 24, 4, 512
 LONGS = BITS // 64
-BLOCK = 1024  # nodes of one key that are compared with as many others in one piece
+BLOCK = 256  # nodes of one key that meet as many others in one piece
 SLICE = 256  # texts that are worked on together
 PART = 1 << 9  # shingles whose samples are made together
 FACTOR, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -128,6 +128,14 @@ def ones(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(LONGS)), F.lit(0))
 
 
+def alike(left, right, up: int, down: int) -> bool:
+    """Whether two sorted sets, as bytes, have a Jaccard similarity of at least up / down."""
+    x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    shared = int((x[at] == y).sum())
+    return shared * down >= up * (len(x) + len(y) - shared)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
     """Those of the pairs (a, b) whose whole sets are similar."""
     up, down = similarity.numerator, similarity.denominator
@@ -137,10 +145,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFr
             left, right = batch.column("left"), batch.column("right")
             kept = np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
-                x, y = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (left, right))
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                shared = int((x[at] == y).sum())
-                kept[i] = shared * down >= up * (len(x) + len(y) - shared)
+                kept[i] = alike(left[i].as_buffer(), right[i].as_buffer(), up, down)
             yield batch.select(["a", "b"]).filter(pa.array(kept))
 
     left, right = (sets.select(F.col("node").alias(k), F.col("set").alias(s)) for k, s in (("a", "left"), ("b", "right")))
@@ -188,21 +193,83 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, size: int, similarity: Frac
 
     roots = rooted(links, known).select(F.col("bits").alias("node"), F.col("component_id").alias("linked"))
     placed = known.join(roots, "node", "left").select("node", "n", "sketch", F.coalesce("linked", "node").alias("root"))
-    placed = stage(placed, "candidate-roots")
-    apart = shared.select("key", "node", "held").join(placed.select("node", "root"), "node")
-    several = apart.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    apart = stage(apart.join(several.select("key"), "key").select("key", "node", "held"), "unlinked-keys")
-    apart = apart.join(placed, "node").withColumn("blocks", F.ceil(F.col("held") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-
-    def side(k: int, own: str, spread: str) -> DataFrame:
-        named = [F.col(c).alias(f"{c}_{k}") for c in ("node", "n", "sketch", "root")]
-        return apart.select("key", F.col("own").alias(own), every.alias(spread), *named)
-
-    met = side(1, "i", "j").join(side(2, "j", "i"), ["key", "i", "j"])
-    may = (F.col("node_1") < F.col("node_2")) & (F.col("root_1") != F.col("root_2")) & sized("n_1", "n_2", similarity)
-    pairs = met.filter(may & (ones("sketch_1", "sketch_2") <= most)).select(F.col("node_1").alias("a"), F.col("node_2").alias("b")).distinct()
-    return links.union(confirmed(stage(pairs, "unlinked-pairs"), sets, similarity))
+    return links.union(linked_in_pieces(pieces(shared, stage(placed, "candidate-roots")), sets, similarity))
+
+
+def pieces(shared: DataFrame, placed: DataFrame) -> DataFrame:
+    """Nodes of keys that hold more than one component, dealt to pieces (key, p, q) in which all pairs of unlike components meet.
+
+    A key's most frequent component is one side, the rest the other; its own pairs are linked already. Both are cut into blocks of
+    about ``BLOCK`` nodes: block p of the rest meets each block q of the frequent component and each later block of the
+    rest. ``second`` tells the sides of a piece apart.
+    """
+    rows = shared.select("key", "node").join(placed.select("node", "root"), "node")
+    counted = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
+    tops = counted.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("held"), F.count("*").alias("roots"))
+    blocks = [F.ceil(F.col("top.n") / BLOCK).alias("frequent"), F.ceil((F.col("held") - F.col("top.n")) / BLOCK).alias("rest")]
+    rows = rows.join(tops.filter("roots > 1").select("key", F.col("top.root").alias("most"), *blocks), "key")
+    own = F.expr("pmod(xxhash64(node), if(root = most, frequent, rest))")
+    rest = """concat(
+        transform(sequence(0L, frequent - 1), m -> struct(own AS p, m AS q, false AS second)),
+        transform(filter(sequence(0L, rest - 1), o -> o > own), o -> struct(own AS p, frequent + o AS q, false AS second)),
+        transform(filter(sequence(0L, rest - 1), o -> o < own), o -> struct(o AS p, frequent + own AS q, true AS second)))"""
+    frequent = "transform(sequence(0L, rest - 1), o -> struct(o AS p, own AS q, true AS second))"
+    dealt = rows.withColumn("own", own).withColumn("piece", F.explode(F.expr(f"if(root = most, {frequent}, {rest})")))
+    return dealt.select("key", "piece.*", "node").join(placed, "node")
+
+
+def linked_in_pieces(dealt: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """For each piece, links (a, b) that reach all that its similar pairs reach; their whole sets are compared."""
+    most, up, down = most_ones(similarity), similarity.numerator, similarity.denominator
+
+    def links_of(held: list[tuple]) -> list[tuple[bytes, bytes]]:
+        first = [k for k, h in enumerate(held) if not h[3]]
+        second = [k for k, h in enumerate(held) if h[3]]
+        sketch = np.array([h[7] for h in held], np.int64).view(np.uint64).reshape(len(held), LONGS)
+        size = np.array([h[5] for h in held], np.int64)
+        number: dict[bytes, int] = {}
+        part = np.array([number.setdefault(h[6], len(number)) for h in held])
+        found = []
+        for at, x in enumerate(first):
+            others = np.array(second + (first[at + 1 :] if held[x][2] == 0 else []), np.int64)
+            others = others[part[others] != part[x]]
+            ones = np.bitwise_count(sketch[others] ^ sketch[x]).sum(1)
+            near = (ones <= most) & (np.minimum(size[others], size[x]) * down >= np.maximum(size[others], size[x]) * up)
+            found += zip(ones[near].tolist(), [x] * int(near.sum()), others[near].tolist())
+        root = list(range(len(number)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        links = []
+        for _, x, y in sorted(found):
+            a, b = find(int(part[x])), find(int(part[y]))
+            if a != b and alike(held[x][8], held[y][8], up, down):
+                root[b] = a
+                links.append((held[x][4], held[y][4]))
+        return links
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            links = []
+            for at in range(0, batch.num_rows, SLICE):
+                for row in zip(*(c.to_pylist() for c in batch.slice(at, SLICE).columns)):
+                    if held and held[0][:3] != row[:3]:
+                        links += links_of(held)
+                        held = []
+                    held.append(row)
+            yield pairs_of(links)
+        yield pairs_of(links_of(held) if held else [])
+
+    def pairs_of(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    whole = dealt.join(sets, "node").select("key", "p", "q", "second", "node", "n", "root", "sketch", "set")
+    ordered = whole.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+    return ordered.mapInArrow(run, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: Fraction = Fraction(85, 100)) -> DataFrame:
