@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.lineage import written
+from tidemark.operators.joins import is_small
+from tidemark.operators.sketches import sketched
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], version: str, tie_break: Sequence[str] = ()) -> DataFrame:
@@ -58,6 +60,21 @@ def qs_opens_daily(
     return opened.groupBy(F.col("event_date").alias("open_date"), "doc_id").agg(F.count("*").alias("opens"))
 
 
+def sketches_daily(
+    events: DataFrame, since: date | Column | None = None, until: date | Column | None = None
+) -> DataFrame:
+    """Per day: events, and sketches of its sessions, opened documents (distinct and frequent) and events per session.
+
+    Sketches of days merge (operators.sketches.merged), so any span of days is answered from the mart.
+    """
+    day = F.col("event_date")
+    kept = events.filter(_within(day, since, until)).select("event_date", "session_id", F.when(F.col("event_type") == "DOC_OPEN", F.col("doc_id")).alias("doc_id"))
+    sizes = kept.groupBy("event_date", "session_id").agg(F.count("*").alias("size"))
+    by_session = sketched(sizes, ["event_date"], distinct={"sessions": "session_id"}, quantiles={"sizes": "size"})
+    by_event = sketched(kept, ["event_date"], distinct={"docs": "doc_id"}, frequent={"opened": "doc_id"})
+    return by_session.join(by_event, "event_date")
+
+
 def hot_since(as_of: date | Column, days: int = 10) -> Column:
     """First day of the hot window; the cold run covers everything before it."""
     return F.date_sub(as_of if isinstance(as_of, Column) else F.lit(as_of), days)
@@ -79,7 +96,8 @@ def write_upsert(path: str, delta: DataFrame, keys: Sequence[str], partition: st
     spark = delta.sparkSession
     staged = written(delta, "delta")
     target = spark.read.schema(delta.schema).parquet(path)
-    touched = F.broadcast(staged.select(partition).distinct())  # at most one row per partition directory
+    touched = written(staged.select(partition).distinct(), "touched")
+    touched = F.broadcast(touched) if is_small(touched) else touched
     merged = written(upsert(target.join(touched, partition, "left_semi"), staged, keys), "merged")
     (
         merged.hint("rebalance", partition)

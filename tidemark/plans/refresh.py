@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.lineage import drop_folder
-from tidemark.operators.medallion import card_hits_daily, hot_since, latest_by_key, qs_opens_daily
+from tidemark.operators.medallion import card_hits_daily, hot_since, latest_by_key, qs_opens_daily, sketches_daily
 from tidemark.sources.tables import write_by
 
 Mart = Callable[..., DataFrame]
 MARTS: dict[str, tuple[Mart, str]] = {
     "card_hits": (card_hits_daily, "date"),
     "qs_opens": (qs_opens_daily, "open_date"),
+    "sketches": (sketches_daily, "event_date"),
 }
 NEEDED = ["session_id", "event_seq", "event_type", "event_date", "search_kind", "doc_id", "result_doc_ids", "ingested_at"]
 
