@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.bridges import ad_tape
-from tidemark.catalog.adtape import GRAIN, TAPE
+from tidemark.catalog.adtape import BURST_CLICKS, BURST_WINDOW, GRAIN, LOOK_BACK, TAPE, TOO_FAST
 from tidemark.catalog.logs import EV
 from tidemark.catalog.registry import query, table
 from tidemark.catalog.storage import write_session_files
 from tidemark.lineage import new_folder
 from tidemark.operators import adtape as A
-from tidemark.streaming import jobs, windows
+from tidemark.streaming import jobs, late, windows
+from tidemark.streaming.fraud import judged_clicks
 from tidemark.streaming.sources import stream_files, stream_table
 from tidemark.streaming.state import click_state, fold_click_state
 
@@ -155,3 +156,73 @@ def stream_click_state(spark, sf_dir):
     log = new_folder(spark, "click-state-log")
     jobs.start_batches(state, write, log, mode="update", every=jobs.ONE_BATCH).awaitTermination()
     return fold_click_state(spark.read.parquet(target))
+
+
+PASSED = "epoch_us(ts) <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM tape) - 86400000000"
+
+
+def judged_stream(spark, sf_dir):
+    """The tape in five parts that overlap by up to a day in time, one part per micro-batch; then the judged rows."""
+    tape = A.with_identity(ad_tape(table(spark, sf_dir, "events")))
+    source = new_folder(spark, "judged-in")
+    jitter = F.pmod(F.xxhash64("event_id"), F.lit(A.DAY - 1))
+    part = F.least(F.floor((F.col("ts_us") + jitter - 1_704_067_200 * A.SECOND) / F.lit(6 * A.DAY)), F.lit(4))
+    for number in range(5):
+        tape.filter(part == number).coalesce(1).write.mode("append").parquet(source)
+    stream = stream_files(spark, source, tape.schema, max_files=1)
+    judged = judged_clicks(stream, "1 day", LOOK_BACK, TOO_FAST, BURST_WINDOW, BURST_CLICKS)
+    return drained(spark, judged, "judged")
+
+
+# Rows in the last day before the newest one still wait for the watermark when the stream stops.
+@query(
+    "stream_too_fast",
+    TAPE + f"SELECT event_id, device_id, epoch_us(imp) AS impression_us, too_fast FROM fast WHERE event_type = 'click' AND {PASSED}",
+)
+def stream_too_fast(spark, sf_dir):
+    judged = judged_stream(spark, sf_dir).filter("event_type = 'click'")
+    return judged.select("event_id", "device_id", "impression_us", "too_fast")
+
+
+@query("stream_burst", TAPE + f"SELECT event_id, clicks_seen, conversions_seen, burst FROM judged WHERE {PASSED}")
+def stream_burst(spark, sf_dir):
+    return judged_stream(spark, sf_dir).select("event_id", "clicks_seen", "conversions_seen", "burst")
+
+
+LATE_EDGES = ("2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01")
+DAY_S = 86_400
+
+
+def late_aware(spark, sf_dir, size_s=DAY_S):
+    """Three parts of the events arrive, the oldest last, long after its windows were closed; each run settles what is closed."""
+    source, target, final, log = (new_folder(spark, f"late-{n}") for n in ("in", "out", "final", "log"))
+    events = table(spark, sf_dir, "events")
+    for part in (1, 2, 0):
+        inside = F.col("ts") >= LATE_EDGES[part] if part else F.lit(True)
+        inside = inside & (F.col("ts") < LATE_EDGES[part + 1]) if part < 2 else inside
+        events.filter(inside).write.mode("append").parquet(source)
+        stream = stream_files(spark, source, events.schema)
+        late.start_late_aware_counts(stream, "ts", ["event_type"], size_s, DAY_S, target, log).awaitTermination()
+        late.settle(spark, target, final, ["event_type"], size_s, DAY_S)
+    return target, final
+
+
+@query(
+    "stream_corrected_windows",
+    f"""
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n,
+       CAST(count(*) FILTER (WHERE ts < TIMESTAMP '{LATE_EDGES[1]}') AS BIGINT) AS late
+FROM (SELECT *, time_bucket(INTERVAL 6 HOUR, ts) AS w FROM events)
+WHERE w + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY ALL""",
+)
+def stream_corrected_windows(spark, sf_dir):
+    settled = spark.read.parquet(late_aware(spark, sf_dir, 6 * 3600)[1])
+    return settled.select(F.timestamp_micros("window_us").alias("window_start"), "event_type", "n", "late")
+
+
+@query(
+    "stream_late_rows",
+    f"SELECT event_id, user_id, event_type FROM events WHERE ts < TIMESTAMP '{LATE_EDGES[1]}'",
+)
+def stream_late_rows(spark, sf_dir):
+    return late.late_rows(spark, late_aware(spark, sf_dir)[0]).select("event_id", "user_id", "event_type")
