@@ -5,7 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from tidemark.operators import adtape as A
-from tidemark.streaming import jobs, late
+from tidemark.operators import metrics as M
+from tidemark.streaming import alerts, jobs, late
 from tidemark.streaming.fraud import judged_clicks
 from tidemark.streaming.sources import stream_files
 
@@ -57,3 +58,25 @@ def test_late_rows_correct_closed_windows_once(spark, tmp_path):
     got = {(r["day"].day, r["k"]): (r["n"], r["late"]) for r in spark.read.parquet(final).collect()}
     assert got == {(5, "a"): (5, 1), (6, None): (3, 1), (7, "b"): (2, 2), (9, "a"): (1, 0)}
     assert late.late_rows(spark, target).count() == 4
+
+
+def test_alerts_on_unordered_samples_equal_the_batch(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(i, "ab"[i % 2], rng.randrange(0, 3000) * 1_000_000, rng.random() < 0.8) for i in range(800) if not 1000 < i < 1200]
+    rows = [r for r in rows if r[1] == "b" or not 900_000_000 < r[2] < 1_500_000_000]  # series a falls silent
+    ends = [(9001, "a", 9_000_000_000, False), (9002, "b", 9_000_000_000, False)]
+    shape = "sample_id long, k string, ts_us long, on boolean"
+    arrival = sorted(rows, key=lambda r: (r[2] + rng.randrange(0, 300_000_000)) // 600_000_000) + ends
+    source = str(tmp_path / "in")
+    for at in range(0, len(arrival), 200):
+        spark.createDataFrame(arrival[at : at + 200], shape).withColumn("ts", F.timestamp_micros("ts_us")).coalesce(1).write.mode("append").parquet(source)
+    stream = stream_files(spark, source, spark.read.parquet(source).schema, max_files=1)
+    found = drained(spark, alerts.watch(stream, ["k"], F.col("on"), 40, 300, "15 minutes"), str(tmp_path / "a")).collect()
+    batch = M.alert_sustained(spark.createDataFrame(rows + ends, shape), ["k"], F.col("on"), 40).collect()
+    want = {(r["k"], r["from_us"], r["until_us"], r["samples"]) for r in batch}
+    broken = {r for r in want if any(x[1] == r[0] and not x[3] and r[2] <= x[2] < 8_000_000_000 for x in rows)}
+    resolved = {(r["k"], r["from_us"], r["until_us"], r["samples"]) for r in found if r["kind"] == "resolved"}
+    assert resolved == broken and len(broken) > 3
+    assert {(r["k"], r["from_us"]) for r in found if r["kind"] == "firing"} == {r[:2] for r in want}
+    silent = [(r["k"], r["at_us"] - r["from_us"]) for r in found if r["kind"] == "absent" and r["from_us"] < 1_000_000_000]
+    assert silent == [("a", 300_000_000)]

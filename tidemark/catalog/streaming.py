@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.bridges import ad_tape
+from tidemark.bridges import ad_tape, gauge_samples
 from tidemark.catalog.adtape import BURST_CLICKS, BURST_WINDOW, GRAIN, LOOK_BACK, TAPE, TOO_FAST
 from tidemark.catalog.logs import EV
+from tidemark.catalog.metrics import SAMPLES, SERIES
 from tidemark.catalog.registry import query, table
 from tidemark.catalog.storage import write_session_files
 from tidemark.lineage import new_folder
 from tidemark.operators import adtape as A
-from tidemark.streaming import jobs, late, windows
+from tidemark.functions.times import epoch_us
+from tidemark.streaming import alerts, jobs, late, windows
 from tidemark.streaming.fraud import judged_clicks
 from tidemark.streaming.sources import stream_files, stream_table
 from tidemark.streaming.state import click_state, fold_click_state
@@ -161,17 +163,25 @@ def stream_click_state(spark, sf_dir):
 PASSED = "epoch_us(ts) <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM tape) - 86400000000"
 
 
+def drained_in_parts(spark, rows, by, build, label):
+    """Rows arrive in three parts that overlap by up to a day in time; the stream stops and resumes between them."""
+    source, target, log = (new_folder(spark, f"{label}-{n}") for n in ("in", "out", "log"))
+    jitter = F.pmod(F.xxhash64(by), F.lit(A.DAY - 1))
+    part = F.least(F.floor((F.col("ts_us") + jitter - 1_704_067_200 * A.SECOND) / F.lit(10 * A.DAY)), F.lit(2))
+    for number in range(3):
+        rows.filter(part == number).write.mode("append").parquet(source)
+        stream = build(stream_files(spark, source, rows.schema))
+        jobs.start_table_sink(stream, target, log).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(target)
+
+
 def judged_stream(spark, sf_dir):
-    """The tape in five parts that overlap by up to a day in time, one part per micro-batch; then the judged rows."""
     tape = A.with_identity(ad_tape(table(spark, sf_dir, "events")))
-    source = new_folder(spark, "judged-in")
-    jitter = F.pmod(F.xxhash64("event_id"), F.lit(A.DAY - 1))
-    part = F.least(F.floor((F.col("ts_us") + jitter - 1_704_067_200 * A.SECOND) / F.lit(6 * A.DAY)), F.lit(4))
-    for number in range(5):
-        tape.filter(part == number).coalesce(1).write.mode("append").parquet(source)
-    stream = stream_files(spark, source, tape.schema, max_files=1)
-    judged = judged_clicks(stream, "1 day", LOOK_BACK, TOO_FAST, BURST_WINDOW, BURST_CLICKS)
-    return drained(spark, judged, "judged")
+
+    def build(stream):
+        return judged_clicks(stream, "1 day", LOOK_BACK, TOO_FAST, BURST_WINDOW, BURST_CLICKS)
+
+    return drained_in_parts(spark, tape, "event_id", build, "judged")
 
 
 # Rows in the last day before the newest one still wait for the watermark when the stream stops.
@@ -226,3 +236,47 @@ def stream_corrected_windows(spark, sf_dir):
 )
 def stream_late_rows(spark, sf_dir):
     return late.late_rows(spark, late_aware(spark, sf_dir)[0]).select("event_id", "user_id", "event_type")
+
+
+MARK = "(SELECT epoch_us(max(ts)) // 1000 * 1000 FROM events) - 86400000000"
+
+
+@query(
+    "stream_alert_sustained",
+    SAMPLES + f""", marked AS (
+  SELECT *, sum(CASE WHEN gauge > 5 THEN 0 ELSE 1 END) OVER (PARTITION BY metric, instance ORDER BY ts, sample_id) AS run FROM samples),
+broken AS (
+  SELECT metric, instance, run, epoch_us(min(ts)) AS at_us FROM marked WHERE gauge <= 5 OR gauge IS NULL GROUP BY ALL),
+held AS (
+  SELECT metric, instance, run, epoch_us(min(ts)) AS from_us, epoch_us(max(ts)) AS until_us, count(*) AS samples
+  FROM marked WHERE gauge > 5 GROUP BY ALL HAVING epoch_us(max(ts)) - epoch_us(min(ts)) >= 7200000000)
+SELECT h.metric, h.instance, b.at_us, h.from_us, h.until_us, h.samples FROM held h
+JOIN broken b ON b.metric = h.metric AND b.instance = h.instance AND b.run = h.run + 1 WHERE b.at_us <= {MARK}""",
+)
+def stream_alert_sustained(spark, sf_dir):
+    """Stretches that were resolved before the watermark."""
+    gauges = gauge_samples(table(spark, sf_dir, "events")).select("ts", "ts_us", "sample_id", *SERIES, "value")
+
+    def build(stream):
+        return alerts.watch(stream, SERIES, F.col("value") > 5, 7200, 86_400, "1 day")
+
+    resolved = drained_in_parts(spark, gauges, "sample_id", build, "alerts").filter("kind = 'resolved'")
+    return resolved.select(*SERIES, "at_us", "from_us", "until_us", "samples")
+
+
+@query(
+    "stream_alert_absent",
+    f"""
+SELECT user_id, last_us, last_us + 86400000000 AS at_us FROM (
+  SELECT user_id, epoch_us(ts) AS last_us, epoch_us(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS next_us FROM events)
+WHERE last_us + 86400000000 <= {MARK} AND (next_us IS NULL OR next_us > last_us + 86400000000)""",
+)
+def stream_alert_absent(spark, sf_dir):
+    """Every silence of a user of more than a day that the watermark has passed."""
+    seen = table(spark, sf_dir, "events").select("user_id", "ts", epoch_us(F.col("ts")).alias("ts_us"), F.col("event_id").alias("sample_id"))
+
+    def build(stream):
+        return alerts.watch(stream, ["user_id"], F.lit(False), 0, 86_400, "1 day")
+
+    silent = drained_in_parts(spark, seen, "sample_id", build, "silences").filter("kind = 'absent'")
+    return silent.select("user_id", F.col("from_us").alias("last_us"), "at_us")
