@@ -25,6 +25,7 @@ HEADLINES = [
     "parse_sessions", "gold_card_hits", "gold_qs_opens", "dash_session_size", "dash_session_quantiles", "dash_top3_series",
     "join_shuffle", "join_broadcast", "agg_sum_count", "coalesce_agg", "repartition_agg", "salted_agg",
     "price_category", "bid_category", "normalized_price", "discounted_price", "device_type", "is_internal", "json_floor_price",
+    "impression_traits", "anti_by_sketch", "sketch_distinct_weekly",
     "udf_vs_native", "agg_multi", "topn_rank", "topn_row_number", "filter_above_avg_having",
     "filter_above_avg_having_sql", "agg_by_expr", "agg_text_len", "agg_minmax", "agg_two_keys", "agg_fullscan",
     "scan_csv_roundtrip", "scan_json_roundtrip", "sink_codecs", "append_then_read", "fmt_filtered_count",

@@ -197,6 +197,24 @@ def json_floor_price(spark, sf_dir):
     )
 
 
+# The three above in one pass.
+@query(
+    "impression_traits",
+    IMP + """
+SELECT transaction_id, CASE WHEN user_agent IS NULL THEN 'unknown' WHEN user_agent LIKE '%iPhone%' OR user_agent LIKE '%iPad%'
+       THEN 'ios' WHEN user_agent LIKE '%Android%' THEN 'android' ELSE 'other' END AS device_type,
+       starts_with(ip_address, '192.168.') OR starts_with(ip_address, '10.') AS is_internal,
+       CAST(json_extract(bid_request, '$.floor_price') AS DOUBLE) AS floor_price FROM imp""",
+)
+def impression_traits(spark, sf_dir):
+    return imp(spark, sf_dir).select(
+        "transaction_id",
+        pricing.device_type(F.col("user_agent")).alias("device_type"),
+        pricing.is_internal_ip(F.col("ip_address")).alias("is_internal"),
+        pricing.json_double(F.col("bid_request"), "$.floor_price").alias("floor_price"),
+    )
+
+
 @query("surrogate_id", "SELECT count(*) AS n, count(*) AS n_distinct FROM lineitem")
 def surrogate_id(spark, sf_dir):
     numbered = relational.with_surrogate_id(imp(spark, sf_dir))
