@@ -8,9 +8,10 @@ sharply where few do. Candidates with more ones than similar sets have but once
 confirmed on their whole sets.
 
 Documents with equal sets are one node. Each node is confirmed first against the nearest, by sketch, of the hubs of its keys
-(the least node of each key); links make components. Then all nodes that share a key but are of unlike components meet, in pieces of
-bounded size, with their whole sets: pairs that the sketches let pass are measured there, nearest first, and a piece returns no more
-links than join its components. No link is left out, pairs that are linked already are never measured, and pairs are never listed.
+(the least node of each key); links make components. Then all nodes that share a key but are of unlike components meet, in
+pieces of bounded size, with their whole sets: pairs that the sketches let pass are measured there, nearest first, and a piece
+returns no more links than join its components. No candidate is left out for being one of many, pairs that are linked already
+are never measured, and pairs are never listed.
 """
 
 from __future__ import annotations
