@@ -3,6 +3,9 @@
 Counting. Words are counted over all training texts, then bigrams, then trigrams. All are kept; a caller may prune bigrams
 and trigrams seen fewer than ``least`` times, and then trigrams are counted only where their two bigrams are kept.
 
+Each level takes one exchange: tasks send sorted blocks of keys and counts to parts, whose bounds follow from the level before,
+and a part's task merges them and writes its shards. No n-gram is stored anywhere else.
+
 Trie. A level is a sorted set of keys: words by hash; bigrams by (word, next word); trigrams by (bigram, place of the last
 word among the successors of the middle one), so the last key part is small: it is relative to its context. Each level
 is cut by key ranges into shards, which tasks write to the shared folder and readers map into memory. In a shard, keys
@@ -29,15 +32,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.lineage import new_folder
-from tidemark.llm.common import arrow_schema, fold, fold_of, ragged_sums, rows_of, shuffle_partitions, stage, texts, words
+from tidemark.llm.common import arrow_schema, fold, fold_of, ragged_sums, rows_of, shuffle_partitions, texts, words
 
 END = b"\n"  # no word holds white space, so this cannot be one
 FLOOR, STEPS = -16.0, 65535  # stored log10 probabilities reach from FLOOR to 0 in so many steps
 PER_BUCKET = 8
 SLICE = 1024  # texts that are looked up together
-TASK_KEYS = 1_000_000  # keys that a task counts by itself before it sends them on
+TASK_KEYS = 4_000_000  # keys that a task counts by itself before it sends them on
+BLOCK_KEYS = 1 << 16
+PART_TOKENS = 3_000_000  # occurrences that a part of bigrams or trigrams holds, about
+CUTS = 8  # places in so many occurrences where a part of the next level may begin
 
 
 def hashes_of(some) -> np.ndarray:
@@ -218,6 +225,17 @@ class Level:
             result[rows] = column[nodes[rows] - self.bases[s]]
         return np.zeros(0) if result is None else result
 
+    def counts(self, nodes: np.ndarray) -> np.ndarray:
+        """How often each node's key was seen."""
+        result = np.zeros(len(nodes), np.int64)
+        for s, rows in self._by_shard(np.searchsorted(self.bases, nodes, side="right") - 1):
+            shard, at = read_shard(self.uris[s]), nodes[rows] - self.bases[s]
+            n = shard["count"][at].astype(np.int64)
+            large = np.flatnonzero(n == 255)
+            n[large] = shard["large"][np.searchsorted(shard["over"], at[large])]
+            result[rows] = n
+        return result
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The node of each key, or -1."""
         if not self.size or not len(keys):
@@ -229,33 +247,162 @@ class Level:
         return result
 
 
-def write_level(rows: DataFrame, folder: str, partitions: int, values) -> Level:
-    """Store ``rows`` (key, and columns for ``values``) as a level.
+# ---- counting: one exchange of sorted blocks for each level
 
-    ``values`` turns the key array and the columns of a shard into its other arrays. Tasks write their key ranges; the
-    driver gets one line for each shard.
-    """
-    names = rows.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[np.ndarray]] = [[] for _ in names]
-        for batch in batches:
-            for part, name in zip(parts, names):
-                part.append(batch.column(name).to_numpy(zero_copy_only=False))
-        if parts[0] and sum(map(len, parts[0])):
-            columns = dict(zip(names, map(np.concatenate, parts)))
-            keys = columns["key"]
-            uri = f"{folder}/{keys[0]:020d}"
-            write_shard(uri, Sequence.encode(keys) | values(keys, columns))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([uri]), pa.array([int(keys[0])]), pa.array([len(keys)])], names=["uri", "first", "n"]
+def narrow(n: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts in a byte each; those of 255 and more lie beside them, by place."""
+    over = np.flatnonzero(n >= 255)
+    return {"count": np.minimum(n, 255).astype(np.uint8), "over": over, "large": n[over]}
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Non-negative numbers as byte planes, lowest first, as many as the largest needs: high planes compress to nothing."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def from_planes(raw: bytes, n: int) -> np.ndarray:
+    wide = np.zeros((n, 8), np.uint8)
+    part = np.frombuffer(raw, np.uint8).reshape(-1, n)
+    wide[:, : len(part)] = part.T
+    return wide.view("<u8").ravel().astype(np.int64)
+
+
+BLOCK = pa.schema([("part", pa.int32()), ("n", pa.int32()), ("first", pa.int64()), ("gaps", pa.binary()), ("counts", pa.binary())])
+
+
+def blocks(keys: np.ndarray, n: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted keys with counts, cut at the parts' bounds; a block holds the gaps between its keys."""
+    cuts = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+    for part in np.flatnonzero(np.diff(cuts)):
+        for at in range(cuts[part], cuts[part + 1], BLOCK_KEYS):
+            end = min(at + BLOCK_KEYS, cuts[part + 1])
+            gaps = np.diff(keys[at:end], prepend=keys[at])
+            yield pa.RecordBatch.from_pylist(
+                [{"part": int(part), "n": int(end - at), "first": int(keys[at]), "gaps": planes(gaps), "counts": planes(n[at:end])}], BLOCK
             )
 
-    ordered = rows.repartitionByRange(partitions, "key").sortWithinPartitions("key")
-    shards = sorted(ordered.mapInArrow(run, "uri string, first long, n long").collect(), key=lambda r: r["first"])
-    counts = np.array([s["n"] for s in shards], np.int64)
-    firsts = np.array([s["first"] for s in shards], np.int64)
-    return Level(tuple(s["uri"] for s in shards), firsts, np.cumsum(counts) - counts, int(counts.sum()))
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted runs as one, counts of equal keys added."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, n = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    order = np.argsort(keys, kind="stable")  # merges runs
+    keys = keys[order]
+    begins = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+    return keys[begins], np.add.reduceat(n[order], begins)
+
+
+@dataclass(frozen=True)
+class Counted:
+    """A counted level, its contexts' level, and what the driver learned of it: a line for each shard."""
+
+    level: Level
+    contexts: Level
+    total: int
+    singles: int
+    widest: int  # most keys of one context
+    cuts: np.ndarray  # places in the level, ascending,
+    masses: np.ndarray  # and the occurrences before each
+
+    def bounds(self, radix: int) -> np.ndarray:
+        """First keys of the next level's parts, all but the first: about ``PART_TOKENS`` occurrences lie between two.
+
+        A part never ends inside a context. What a context holds is at most its own count.
+        """
+        wanted = np.arange(PART_TOKENS, self.total, PART_TOKENS) if len(self.cuts) else np.zeros(0, np.int64)
+        return np.unique(self.cuts[np.minimum(np.searchsorted(self.masses, wanted), len(self.cuts) - 1)]) * radix
+
+
+def joined(lines: list, uri: str, first: str, n: str) -> Level:
+    lines = [r for r in lines if r[n]]
+    counts = np.array([r[n] for r in lines], np.int64)
+    return Level(tuple(r[uri] for r in lines), np.array([r[first] for r in lines], np.int64), np.cumsum(counts) - counts, int(counts.sum()))
+
+
+def count_level(docs: DataFrame, keys_of, bounds: np.ndarray, folder: str, least: int, finish) -> Counted:
+    """Count the keys of all documents, and write the level's shards and those of its contexts.
+
+    ``keys_of`` maps texts to an array of keys, repeats included. A task sorts and counts what fits its buffer and sends it as
+    blocks, so a frequent key is a few bytes from each buffer. A part's task merges its blocks, keeps what occurs ``least``
+    times and writes the shards; nothing else is stored. Parts are key ranges that do not cut a context, so ``finish``
+    has the sums of every context at hand: from sorted keys and counts it makes the level's arrays, the contexts with
+    theirs, and the most keys of one context. A repeated task writes the same files.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for _, values in rows_of(batches, SLICE):
+            held.append(keys_of(values))
+            size += len(held[-1])
+            if size > TASK_KEYS:
+                yield from blocks(*np.unique(np.concatenate(held), return_counts=True), bounds)
+                held, size = [], 0
+        if size:
+            yield from blocks(*np.unique(np.concatenate(held), return_counts=True), bounds)
+
+    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: list[tuple[np.ndarray, np.ndarray]] = []
+        part, size, rest = None, 0, 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if part not in (None, row["part"]):
+                    raise ValueError("a task got blocks of two parts")
+                part = row["part"]
+                runs.append((row["first"] + np.cumsum(from_planes(row["gaps"], row["n"])), from_planes(row["counts"], row["n"])))
+                rest += row["n"]
+                if rest > max(TASK_KEYS // 2, size):
+                    runs = [merged(runs)]
+                    size, rest = len(runs[0][0]), 0
+        if not runs:
+            return
+        keys, n = merged(runs)
+        del runs
+        if least > 1:
+            keys, n = keys[n >= least], n[n >= least]
+        if not len(keys):
+            return
+        arrays, contexts, context_arrays, widest = finish(keys, n)
+        uri = f"{folder}/{part:07d}"
+        write_shard(uri, Sequence.encode(keys) | narrow(n) | arrays)
+        if len(contexts):
+            write_shard(f"{uri}-contexts", Sequence.encode(contexts) | context_arrays)
+        mass = np.cumsum(n)
+        cuts = np.unique(np.searchsorted(mass, np.arange(PART_TOKENS // CUTS, mass[-1], PART_TOKENS // CUTS)) + 1)
+        yield pa.RecordBatch.from_pylist(
+            [
+                {
+                    "part": part, "uri": uri, "first": int(keys[0]), "n": len(keys), "context_uri": f"{uri}-contexts",
+                    "context_first": int(contexts[0]) if len(contexts) else 0, "contexts": len(contexts), "total": int(mass[-1]),
+                    "singles": int((n == 1).sum()), "widest": widest, "cuts": cuts.tolist(), "masses": mass[cuts - 1].tolist(),
+                }
+            ],
+            arrow_lines,
+        )
+
+    kinds = (
+        "part int, uri string, first long, n long, context_uri string, context_first long, contexts long, "
+        "total long, singles long, widest long, cuts array<long>, masses array<long>"
+    )
+    arrow_lines = arrow_schema(StructType.fromDDL(kinds))
+    made = docs.mapInArrow(send, "part int, n int, first long, gaps binary, counts binary")
+    dealt = made.repartitionById(len(bounds) + 1, F.col("part"))
+    lines = sorted(dealt.mapInArrow(receive, kinds).collect(), key=lambda r: r["part"])
+    level, contexts = joined(lines, "uri", "first", "n"), joined(lines, "context_uri", "context_first", "contexts")
+    before = np.cumsum([0, *(r["total"] for r in lines)])
+    cuts = np.array([base + c for base, r in zip(level.bases, lines) for c in r["cuts"]], np.int64)
+    masses = np.array([mass + m for mass, r in zip(before, lines) for m in r["masses"]], np.int64)
+    widest, singles = max((r["widest"] for r in lines), default=0), sum(r["singles"] for r in lines)
+    return Counted(level, contexts, int(before[-1]), singles, widest, cuts, masses)
+
+
+def grouped(context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each context begins among sorted keys, and the number of its keys."""
+    begins = np.flatnonzero(np.diff(context, prepend=context[0] - 1))
+    return begins, np.diff(begins, append=len(context))
 
 
 # ---- the model
@@ -287,7 +434,7 @@ class Model:
         ids = self.words.find(hashes)
         counts = np.zeros(len(ids), np.int64)
         if (ids >= 0).any():
-            counts[ids >= 0] = self.words.value("count", ids[ids >= 0])
+            counts[ids >= 0] = self.words.counts(ids[ids >= 0])
         return ids[local], counts[local], offsets
 
     def pair_nodes(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -350,70 +497,29 @@ def training(docs: DataFrame, folds: int, held: int) -> DataFrame:
     return texts(docs).filter(fold(F.col("doc_id"), folds) != held)
 
 
-def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(back, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
-
-
-def slices(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(keys), 1 << 16):
-        part = slice(at, at + (1 << 16))
-        yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(n[part].astype(np.int32))], names=["key", "n"])
-
-
-def counted_keys(docs: DataFrame, keys_of, least: int) -> DataFrame:
-    """key, n over all documents, for keys seen at least ``least`` times. ``keys_of`` maps texts to an array of keys."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
-        for _, values in rows_of(batches, SLICE):
-            held.append(np.unique(keys_of(values), return_counts=True))
-            size += len(held[-1][0])
-            if size > TASK_KEYS:
-                held = [merged(held)]
-                size = len(held[0][0])
-                if 2 * size > TASK_KEYS:
-                    yield from slices(*held.pop())
-                    size = 0
-        if held:
-            yield from slices(*merged(held))
-
-    made = docs.mapInArrow(run, "key long, n int")
-    return made.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-
-
 def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discount: float = 0.75) -> Model:
     """Learn from the documents outside the held-out fold; all of them are counted, and all their n-grams unless ``least`` > 1."""
     spark = docs.sparkSession
-    folder, partitions = new_folder(spark, "ngram-trie"), shuffle_partitions(spark)
+    folder = new_folder(spark, "ngram-trie")
     learned = training(docs, folds, held)
     nothing = Level((), np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
 
-    def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+    def word_keys(values: list[str]) -> np.ndarray:
+        split = [[*words(t), END] for t in values]
+        seen = Counter(chain.from_iterable(split))
+        return np.repeat(hashes_of(seen), np.fromiter(seen.values(), np.int64, len(seen)))
 
-        def counted() -> pa.RecordBatch:
-            columns = [pa.array(hashes_of(seen)), pa.array(list(seen.values()), pa.int64())]
-            seen.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["key", "n"])
+    def word_parts(keys: np.ndarray, n: np.ndarray) -> tuple:
+        return {}, keys[:0], {}, 0
 
-        for _, values in rows_of(batches, SLICE):
-            seen.update(chain.from_iterable(map(words, values)))
-            seen[END] += len(values)
-            if len(seen) > TASK_KEYS // 8:
-                yield counted()
-        if seen:
-            yield counted()
-
-    unigrams = stage(learned.mapInArrow(word_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
-    facts = unigrams.agg(F.sum("n").alias("tokens"), F.count_if(F.col("n") == 1).alias("singles")).first()
-    tokens, singles = facts["tokens"] or 0, facts["singles"] or 0
-    word_level = write_level(unigrams, f"{folder}/words", partitions, lambda keys, c: {"count": c["n"].astype(np.uint32 if c["n"].max() < 1 << 32 else np.int64)})
-    base = Model(word_level, nothing, nothing, nothing, nothing, tokens, singles, 1)
+    parts = shuffle_partitions(spark)
+    hash_bounds = np.array([(i << 63) // parts for i in range(1, parts)], np.int64)
+    unigrams = count_level(learned, word_keys, hash_bounds, f"{folder}/words", 1, word_parts)
+    tokens, size = unigrams.total, unigrams.level.size
+    base = Model(unigrams.level, nothing, nothing, nothing, nothing, tokens, unigrams.singles, 1)
     if not tokens:
         return base
-    size = word_level.size
+    fits(size, size)
 
     def pair_keys(values: list[str]) -> np.ndarray:
         ids, counts, offsets = base.look_up(values)
@@ -423,26 +529,22 @@ def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discou
         at = np.flatnonzero(within[1:] & often[1:] & often[:-1]) + 1
         return ids[at - 1] * size + ids[at]
 
-    pairs = stage(counted_keys(learned, pair_keys, least), "pairs")
-    context = F.expr(f"key div {size}L")
-    left = pairs.groupBy(context.alias("key")).agg(F.sum(F.col("n") - discount).alias("kept"), F.count("*").alias("children"))
-    left = stage(left, "pair-contexts")
-    radix = (left.agg(F.max("children")).first()[0] or 0) + 1
-
-    def gamma(keys: np.ndarray, columns: dict) -> dict:
-        c = base.words.value("count", keys)
-        return {"p": code(np.log10(np.maximum(1 - columns["kept"] / c, 1e-16)))}
-
-    gammas = write_level(left.select("key", "kept"), f"{folder}/gammas", partitions, gamma)
-
-    def pair_values(keys: np.ndarray, columns: dict) -> dict:
-        first, second = keys // size, keys % size
-        shorter = (1 - base.unknown) * base.words.value("count", second) / tokens
-        p = (columns["n"] - discount) / base.words.value("count", first) + 10 ** optional(gammas, first) * shorter
-        return {"p": code(np.log10(p)), "count": columns["n"].astype(np.int64)}
-
-    pair_level = write_level(pairs, f"{folder}/pairs", partitions, pair_values)
-    two = Model(word_level, gammas, pair_level, nothing, nothing, tokens, singles, radix)
+    def pair_parts(keys: np.ndarray, n: np.ndarray) -> tuple:
+        begins, children = grouped(keys // size)
+        first = keys[begins] // size
+        c = base.words.counts(first)
+        gamma = left_over(n - discount, begins, c)
+        second, back = np.unique(keys % size, return_inverse=True)
+        shorter = ((1 - base.unknown) * base.words.counts(second) / tokens)[back]
+        p = (n - discount) / np.repeat(c, children) + np.repeat(10 ** decoded(gamma), children) * shorter
+        return {"p": code(np.log10(p))}, first, {"p": gamma}, int(children.max())
+
+    bigrams = count_level(learned, pair_keys, unigrams.bounds(size), f"{folder}/pairs", least, pair_parts)
+    radix = bigrams.widest + 1
+    two = Model(unigrams.level, bigrams.contexts, bigrams.level, nothing, nothing, tokens, unigrams.singles, radix)
+    if not bigrams.total:
+        return two
+    fits(bigrams.level.size, radix)
 
     def triple_keys(values: list[str]) -> np.ndarray:
         ids, _, offsets = base.look_up(values)
@@ -454,23 +556,31 @@ def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discou
         third = np.flatnonzero((node[1:] >= 0) & (node[:-1] >= 0)) + 1
         return two.triple_keys(node[third - 1], node[third], ids[third - 1])
 
-    triples = stage(counted_keys(learned, triple_keys, least), "triples")
-    over = triples.groupBy(F.expr(f"key div {radix}L").alias("key")).agg(F.sum(F.col("n") - discount).alias("kept"))
+    def triple_parts(keys: np.ndarray, n: np.ndarray) -> tuple:
+        begins, children = grouped(keys // radix)
+        before = keys[begins] // radix
+        c = two.pairs.counts(before)
+        gamma = left_over(n - discount, begins, c)
+        middle, back = np.unique(two.pairs.get(before) % size, return_inverse=True)
+        node = np.repeat(two.pairs.rank(middle * size)[back], children) + keys % radix
+        shorter = 10 ** decoded(two.pairs.value("p", node))
+        p = (n - discount) / np.repeat(c, children) + np.repeat(10 ** decoded(gamma), children) * shorter
+        return {"p": code(np.log10(p))}, before, {"p": gamma}, int(children.max())
+
+    trigrams = count_level(learned, triple_keys, bigrams.bounds(radix), f"{folder}/triples", least, triple_parts)
+    return Model(
+        unigrams.level, bigrams.contexts, bigrams.level, trigrams.contexts, trigrams.level, tokens, unigrams.singles, radix
+    )
 
-    def pair_gamma(keys: np.ndarray, columns: dict) -> dict:
-        return {"p": code(np.log10(np.maximum(1 - columns["kept"] / two.pairs.value("count", keys), 1e-16)))}
 
-    pair_gammas = write_level(stage(over, "triple-contexts"), f"{folder}/pair-gammas", partitions, pair_gamma)
+def fits(contexts: int, radix: int) -> None:
+    if contexts * radix >= 1 << 63:
+        raise ValueError(f"{contexts} contexts of up to {radix} keys each do not fit in 63 bits")
 
-    def triple_values(keys: np.ndarray, columns: dict) -> dict:
-        before, place = keys // radix, keys % radix
-        middle = two.pairs.get(before) % size
-        shorter = 10 ** decoded(two.pairs.value("p", two.pairs.rank(middle * size) + place))
-        p = (columns["n"] - discount) / two.pairs.value("count", before) + 10 ** optional(pair_gammas, before) * shorter
-        return {"p": code(np.log10(p))}
 
-    triple_level = write_level(triples, f"{folder}/triples", partitions, triple_values)
-    return Model(word_level, gammas, pair_level, pair_gammas, triple_level, tokens, singles, radix)
+def left_over(kept: np.ndarray, begins: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Stored log10 of what the kept n-grams of each context leave."""
+    return code(np.log10(np.maximum(1 - np.add.reduceat(kept, begins) / c, 1e-16)))
 
 
 def score(docs: DataFrame, model: Model, folds: int = 7, held: int = 2) -> DataFrame:
