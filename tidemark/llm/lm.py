@@ -21,21 +21,20 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.lineage import new_folder
-from tidemark.llm.common import arrow_schema, fold, fold_of, ragged_sums, rows_of, shuffle_partitions, texts, words
+from tidemark.llm.common import arrow_schema, fold, fold_of, ragged_sums, rows_of, shuffle_partitions, texts
 
 END = b"\n"  # no word holds white space, so this cannot be one
 FLOOR, STEPS = -16.0, 65535  # stored log10 probabilities reach from FLOOR to 0 in so many steps
@@ -47,6 +46,23 @@ PART_TOKENS = 3_000_000  # occurrences that a part of bigrams or trigrams holds,
 CUTS = 8  # places in so many occurrences where a part of the next level may begin
 
 
+def tokens_of(values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of some texts, each text's end included: places among the distinct ones, whose hashes follow, and each text's
+    first place. Words are cut as ``common.words`` cuts them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(values, pa.large_string())))
+    flat = lists.flatten()
+    real = np.asarray(pc.binary_length(flat)) > 0  # white space at a text's ends leaves empty parts
+    before = np.concatenate([[0], np.cumsum(real)])[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
+    encoded = flat.filter(pa.array(real)).dictionary_encode()
+    distinct = encoded.dictionary.cast(pa.large_binary()).to_pylist()
+    offsets = before + np.arange(len(before))
+    local = np.full(int(offsets[-1]), len(distinct), np.int32)
+    ends = np.zeros(len(local), bool)
+    ends[offsets[1:] - 1] = True
+    local[~ends] = np.asarray(encoded.indices)
+    return local, hashes_of([*distinct, END]), offsets
+
+
 def hashes_of(some) -> np.ndarray:
     found = np.fromiter(map(xxhash.xxh64_intdigest, some), np.uint64, len(some))
     return (found >> np.uint64(1)).astype(np.int64)
@@ -174,7 +190,7 @@ def read_shard(uri: str) -> dict[str, np.ndarray]:
             while part := source.read(1 << 22):
                 f.write(part)
         path = f.name
-    data = np.memmap(path, np.uint8, "r")
+    data = np.asarray(np.memmap(path, np.uint8, "r"))
     if local_path(uri) is None:
         os.unlink(path)  # the mapping stays
     found = {}
@@ -425,12 +441,7 @@ class Model:
 
     def look_up(self, values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word ids (-1 unknown) and counts of all tokens of some texts, ends included, and each text's first place."""
-        split = [[*words(t), END] for t in values]
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in split])])
-        distinct = set(chain.from_iterable(split))
-        place = dict(zip(distinct, range(len(distinct))))
-        local = np.fromiter(map(place.__getitem__, chain.from_iterable(split)), np.int32, int(offsets[-1]))
-        hashes = hashes_of(place)
+        local, hashes, offsets = tokens_of(values)
         ids = self.words.find(hashes)
         counts = np.zeros(len(ids), np.int64)
         if (ids >= 0).any():
@@ -456,30 +467,35 @@ class Model:
         return before * self.radix + self.relative(node, middle)
 
     def log10(self, ids: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 p of each token given the two before it in its text."""
-        u = self.unknown
-        known = np.where(counts > 0, (1 - u) * counts / max(self.tokens, 1), u)
-        result = np.log10(known)
+        """log10 p of each token given the two before it in its text: the longest n-gram kept, and what longer contexts leave."""
+        result = np.zeros(len(ids))
         begins = np.zeros(len(ids) + 1, bool)
         begins[starts] = True
         at = np.flatnonzero(~begins[: len(ids)])
-        if not self.pairs.size or not len(at):
-            return result
         node = np.full(len(ids), -1, np.int64)  # of (previous, this)
         node[at] = self.pair_nodes(ids[at - 1], ids[at])
-        hit = node >= 0
-        result[at] += np.where(hit[at], 0, optional(self.gammas, ids[at - 1]))
-        result[hit] = decoded(self.pairs.value("p", node[hit]))
+        shorter = np.ones(len(ids), bool)  # no trigram ends here
         if self.triples.size:
-            third = np.flatnonzero(node[:-1] >= 0) + 1  # tokens after a kept bigram
-            third = third[~begins[third]]
-            result[third] += optional(self.pair_gammas, node[third - 1])
-            both = third[node[third] >= 0]
-            keys = self.triple_keys(node[both - 1], node[both], ids[both - 1])
-            one, back = np.unique(keys, return_inverse=True)
-            found = self.triples.find(one)[back]
-            kept = found >= 0
-            result[both[kept]] = decoded(self.triples.value("p", found[kept]))
+            both = np.flatnonzero((node[1:] >= 0) & (node[:-1] >= 0)) + 1
+            one, back = np.unique(self.triple_keys(node[both - 1], node[both], ids[both - 1]), return_inverse=True)
+            found = self.triples.find(one)
+            value = np.zeros(len(one))
+            value[found >= 0] = decoded(self.triples.value("p", found[found >= 0]))
+            kept = (found >= 0)[back]
+            result[both[kept]] = value[back[kept]]
+            shorter[both[kept]] = False
+        rest = np.flatnonzero(shorter)
+        pair = rest[node[rest] >= 0]
+        if len(pair):
+            result[pair] = decoded(self.pairs.value("p", node[pair]))
+        word = rest[node[rest] < 0]
+        u, c = self.unknown, counts[word]
+        result[word] = np.log10(np.where(c > 0, (1 - u) * c / max(self.tokens, 1), u))
+        after = word[~begins[word]]
+        result[after] += optional(self.gammas, ids[after - 1])
+        after = rest[~begins[rest]]
+        after = after[node[after - 1] >= 0]
+        result[after] += optional(self.pair_gammas, node[after - 1])
         return result
 
 
@@ -505,9 +521,8 @@ def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discou
     nothing = Level((), np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
 
     def word_keys(values: list[str]) -> np.ndarray:
-        split = [[*words(t), END] for t in values]
-        seen = Counter(chain.from_iterable(split))
-        return np.repeat(hashes_of(seen), np.fromiter(seen.values(), np.int64, len(seen)))
+        local, hashes, _ = tokens_of(values)
+        return hashes[local]
 
     def word_parts(keys: np.ndarray, n: np.ndarray) -> tuple:
         return {}, keys[:0], {}, 0
