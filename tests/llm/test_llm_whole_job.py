@@ -70,3 +70,26 @@ def test_near_duplicates_stage_goes_by_text_not_by_id(spark, sf_dir):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()), key=str)
     assert kept == sorted([(1, a), (2, b), (3, c), (None, "only here"), (4, None)], key=str)
+
+
+def test_language_model_parts_and_buffers_change_no_score(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    whole, cut = lm.train(docs), lm.train(docs.repartition(5), part_tokens=4000, buffer=900)
+    assert len(cut.pairs.uris) > 4 and len(cut.triples.uris) > 4
+    assert (cut.pairs.size, cut.triples.size, cut.tokens) == (whole.pairs.size, whole.triples.size, whole.tokens)
+    one, other = (dict(lm.score(docs, m).select("doc_id", "score").collect()) for m in (whole, cut))
+    assert one == other
+
+
+def test_language_model_tokens_are_the_common_words():
+    some = ["", " \t\n", "a", " A\x0bb\x0c\r É\x1c\x85 \xa0x ", "\x00 Σ😀  İ"]
+    place, hashes, offsets = lm.tokens_of(some)
+    found = [hashes[place[a:b]].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
+    assert found == [lm.hashes_of([*words(t), lm.END]).tolist() for t in some]
+
+
+def test_language_model_keeps_large_counts(tmp_path):
+    n = np.array([1, 254, 255, 256, 7, 1 << 40])
+    lm.write_shard(str(tmp_path / "s"), lm.Sequence.encode(np.arange(6) * 3) | lm.narrow(n))
+    level = lm.Level((str(tmp_path / "s"),), np.array([0]), np.array([0]), 6)
+    assert level.counts(np.array([5, 2, 0, 1, 3, 4, 2])).tolist() == [1 << 40, 255, 1, 254, 256, 7, 255]

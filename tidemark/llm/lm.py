@@ -323,12 +323,12 @@ class Counted:
     cuts: np.ndarray  # places in the level, ascending,
     masses: np.ndarray  # and the occurrences before each
 
-    def bounds(self, radix: int) -> np.ndarray:
-        """First keys of the next level's parts, all but the first: about ``PART_TOKENS`` occurrences lie between two.
+    def bounds(self, radix: int, part_tokens: int) -> np.ndarray:
+        """First keys of the next level's parts, all but the first: about ``part_tokens`` occurrences lie between two.
 
         A part never ends inside a context. What a context holds is at most its own count.
         """
-        wanted = np.arange(PART_TOKENS, self.total, PART_TOKENS) if len(self.cuts) else np.zeros(0, np.int64)
+        wanted = np.arange(part_tokens, self.total, part_tokens) if len(self.cuts) else np.zeros(0, np.int64)
         return np.unique(self.cuts[np.minimum(np.searchsorted(self.masses, wanted), len(self.cuts) - 1)]) * radix
 
 
@@ -338,7 +338,9 @@ def joined(lines: list, uri: str, first: str, n: str) -> Level:
     return Level(tuple(r[uri] for r in lines), np.array([r[first] for r in lines], np.int64), np.cumsum(counts) - counts, int(counts.sum()))
 
 
-def count_level(docs: DataFrame, keys_of, bounds: np.ndarray, folder: str, least: int, finish) -> Counted:
+def count_level(
+    docs: DataFrame, keys_of, bounds: np.ndarray, folder: str, finish, least: int = 1, part_tokens: int = PART_TOKENS, buffer: int = TASK_KEYS
+) -> Counted:
     """Count the keys of all documents, and write the level's shards and those of its contexts.
 
     ``keys_of`` maps texts to an array of keys, repeats included. A task sorts and counts what fits its buffer and sends it as
@@ -348,13 +350,15 @@ def count_level(docs: DataFrame, keys_of, bounds: np.ndarray, folder: str, least
     theirs, and the most keys of one context. A repeated task writes the same files.
     """
 
+    grain = max(1, part_tokens // CUTS)
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
         for _, values in rows_of(batches, SLICE):
             held.append(keys_of(values))
             size += len(held[-1])
-            if size > TASK_KEYS:
+            if size > buffer:
                 yield from blocks(*np.unique(np.concatenate(held), return_counts=True), bounds)
                 held, size = [], 0
         if size:
@@ -370,7 +374,7 @@ def count_level(docs: DataFrame, keys_of, bounds: np.ndarray, folder: str, least
                 part = row["part"]
                 runs.append((row["first"] + np.cumsum(from_planes(row["gaps"], row["n"])), from_planes(row["counts"], row["n"])))
                 rest += row["n"]
-                if rest > max(TASK_KEYS // 2, size):
+                if rest > max(buffer // 2, size):
                     runs = [merged(runs)]
                     size, rest = len(runs[0][0]), 0
         if not runs:
@@ -387,7 +391,7 @@ def count_level(docs: DataFrame, keys_of, bounds: np.ndarray, folder: str, least
         if len(contexts):
             write_shard(f"{uri}-contexts", Sequence.encode(contexts) | context_arrays)
         mass = np.cumsum(n)
-        cuts = np.unique(np.searchsorted(mass, np.arange(PART_TOKENS // CUTS, mass[-1], PART_TOKENS // CUTS)) + 1)
+        cuts = np.unique(np.searchsorted(mass, np.arange(grain, mass[-1], grain)) + 1)
         yield pa.RecordBatch.from_pylist(
             [
                 {
@@ -513,8 +517,15 @@ def training(docs: DataFrame, folds: int, held: int) -> DataFrame:
     return texts(docs).filter(fold(F.col("doc_id"), folds) != held)
 
 
-def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discount: float = 0.75) -> Model:
-    """Learn from the documents outside the held-out fold; all of them are counted, and all their n-grams unless ``least`` > 1."""
+def train(
+    docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discount: float = 0.75,
+    part_tokens: int = PART_TOKENS, buffer: int = TASK_KEYS,
+) -> Model:
+    """Learn from the documents outside the held-out fold; all of them are counted, and all their n-grams unless ``least`` > 1.
+
+    ``part_tokens`` and ``buffer`` bound the memory of a task and change no score. The followers of one word, distinct ones, lie in
+    one part, so the vocabulary bounds it too.
+    """
     spark = docs.sparkSession
     folder = new_folder(spark, "ngram-trie")
     learned = training(docs, folds, held)
@@ -529,7 +540,7 @@ def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discou
 
     parts = shuffle_partitions(spark)
     hash_bounds = np.array([(i << 63) // parts for i in range(1, parts)], np.int64)
-    unigrams = count_level(learned, word_keys, hash_bounds, f"{folder}/words", 1, word_parts)
+    unigrams = count_level(learned, word_keys, hash_bounds, f"{folder}/words", word_parts, 1, part_tokens, buffer)
     tokens, size = unigrams.total, unigrams.level.size
     base = Model(unigrams.level, nothing, nothing, nothing, nothing, tokens, unigrams.singles, 1)
     if not tokens:
@@ -554,7 +565,7 @@ def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discou
         p = (n - discount) / np.repeat(c, children) + np.repeat(10 ** decoded(gamma), children) * shorter
         return {"p": code(np.log10(p))}, first, {"p": gamma}, int(children.max())
 
-    bigrams = count_level(learned, pair_keys, unigrams.bounds(size), f"{folder}/pairs", least, pair_parts)
+    bigrams = count_level(learned, pair_keys, unigrams.bounds(size, part_tokens), f"{folder}/pairs", pair_parts, least, part_tokens, buffer)
     radix = bigrams.widest + 1
     two = Model(unigrams.level, bigrams.contexts, bigrams.level, nothing, nothing, tokens, unigrams.singles, radix)
     if not bigrams.total:
@@ -582,7 +593,7 @@ def train(docs: DataFrame, folds: int = 7, held: int = 2, least: int = 1, discou
         p = (n - discount) / np.repeat(c, children) + np.repeat(10 ** decoded(gamma), children) * shorter
         return {"p": code(np.log10(p))}, before, {"p": gamma}, int(children.max())
 
-    trigrams = count_level(learned, triple_keys, bigrams.bounds(radix), f"{folder}/triples", least, triple_parts)
+    trigrams = count_level(learned, triple_keys, bigrams.bounds(radix, part_tokens), f"{folder}/triples", triple_parts, least, part_tokens, buffer)
     return Model(
         unigrams.level, bigrams.contexts, bigrams.level, trigrams.contexts, trigrams.level, tokens, unigrams.singles, radix
     )
