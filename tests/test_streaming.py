@@ -77,7 +77,8 @@ def test_latest_keeps_two_states(spark, tmp_path):
     for i in range(4):
         spark.createDataFrame([(1, i), (i, 0)], "k int, v int").write.mode("append").parquet(source)
         jobs.start_latest(stream_files(spark, source, spark.read.parquet(source).schema), ["k"], "v", target, marks).awaitTermination()
-    assert len(list((tmp_path / "out").glob("batch=*"))) == 2
+    kept = [len(list(bucket.glob("batch=*"))) for bucket in (tmp_path / "out").glob("bucket=*")]
+    assert max(kept) == 2
     assert sorted(map(tuple, jobs.read_latest(spark, target).collect())) == [(0, 0), (1, 3), (2, 0), (3, 0)]
 
 
@@ -88,3 +89,44 @@ def test_counts_survive_the_time_to_live(spark):
     updates = [("d", 1, 0, 1, 0, 5, 100), ("d", 1, 0, 3, 1, 9, 100), ("d", 1, 0, 2, 0, 20, 900), ("d", 1, 1, 1, 0, 7, 100)]
     (row,) = fold_click_state(spark.createDataFrame(updates, kinds)).collect()
     assert (row.impressions, row.clicks, row.last_impression_us) == (6, 1, 20)
+
+
+def test_latest_rewrites_touched_buckets_only(spark, tmp_path):
+    source, target, marks = (str(tmp_path / n) for n in ("in", "out", "log"))
+
+    def load(values):
+        spark.createDataFrame(values, "k int, v int").coalesce(1).write.mode("append").parquet(source)
+        jobs.start_latest(stream_files(spark, source, spark.read.parquet(source).schema), ["k"], "v", target, marks).awaitTermination()
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "out").glob("bucket=*/batch=*/*.parquet")}
+
+    before, after = load([(k, 0) for k in range(300)]), load([(7, 5)])
+    assert len(after) == len(before) + 1 and all(after[f] == t for f, t in before.items())
+    assert sorted(map(tuple, jobs.read_latest(spark, target).collect())) == [(k, 5 if k == 7 else 0) for k in range(300)]
+
+
+def test_attribution_writes_what_arrives_and_ignores_a_clock_far_ahead(spark, tmp_path):
+    minute, day = 60_000_000, 86_400_000_000
+    kinds = "event_id int, device_id string, ad_id int, campaign_id int, ts_us bigint, event_type string"
+
+    def answers(name, extra):
+        source, target, carry, marks = (str(tmp_path / name / n) for n in ("in", "out", "carry", "log"))
+        written = []
+        for b in range(3):
+            start = b * day
+            rows = [(b * 1000 + i, f"d{i % 40}", 1, 1, start + i * minute, "impression" if i % 2 else "click") for i in range(400)]
+            rows += [(b * 1000 + 500 + i, f"d{i}", 1, 1, start + 12 * 60 * minute, "conversion") for i in range(40)]
+            if b == 2:  # late touches of the days before, and one batch repeated in part
+                rows += [(2900, "d0", 1, 1, 11 * 60 * minute, "impression"), *rows[:3], (1001, "d1", 1, 1, day + minute, "impression")]
+            if b == 1 and extra:
+                rows.append((9999, "far", 1, 1, 3650 * day, "impression"))
+            spark.createDataFrame(rows, kinds).coalesce(1).write.mode("append").parquet(source)
+            stream = stream_files(spark, source, spark.read.parquet(source).schema)
+            jobs.start_attribution(stream, target, carry, marks, click_us=2 * day, late_us=day).awaitTermination()
+            written.append(sum(1 for _ in spark.read.parquet(carry).filter(f"batch = {b}").select("event_id").toLocalIterator()))
+        assert written[0] == 440 and written[1] == 440 + extra and written[2] == 445
+        found = jobs.read_attribution(spark, target).filter("device_id <> 'far'")
+        return sorted(map(tuple, found.select("event_id", "device_id", "attributed_us", "source").collect()), key=str), found.count()
+
+    plain, n = answers("plain", 0)
+    assert n == 120 and {a[0]: a[2] for a in plain}[500] == 11 * 60 * minute
+    assert answers("ahead", 1) == (plain, n)
