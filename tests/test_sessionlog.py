@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import parse_time
 from tidemark.lineage import unwritten, written
+from tidemark.operators.loglines import to_lines
 from tidemark.operators.sessionlog import parse_files, parse_sessions, with_json_columns
-from tidemark.sources.sessions import read_sessions
+from tidemark.sources.sessions import read_session_lines, read_sessions
 
 T1, T2 = "07.07.2020_06:38:07", "07.07.2020_06:40:00"
 D1, D2 = datetime(2020, 7, 7, 6, 38, 7), datetime(2020, 7, 7, 6, 40)
@@ -236,3 +237,27 @@ def test_chunks_of_one_session_join_up(spark):
         [("s", i * 10, line) for i, line in enumerate(text.split("\n"))], "session_id string, line_base bigint, content string"
     )
     assert parse_sessions(parts, 1).orderBy("event_seq").collect() == parse_sessions(whole, None).orderBy("event_seq").collect()
+
+
+def test_files_read_in_splits_parse_like_whole_ones(spark, tmp_path):
+    rng = random.Random(3)
+    names = ["one.txt", "with blank + plus.txt", "deep/one.txt", "empty.txt", "feeds.txt", "blanks.txt"]
+    texts = ["\n".join(random_log(rng) for _ in range(30)) for _ in names]
+    texts[3:] = ["", texts[4].replace("\n", "\f"), texts[5].replace("\n", "\n\n\r\n") + "\nQS привет"]
+    for name, text in zip(names, texts):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(text.encode("cp1251"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    whole = parse_files(read_sessions(spark, str(tmp_path)), with_path=True)
+    numbers = to_lines(read_sessions(spark, str(tmp_path)))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "997")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        lines = read_session_lines(spark, str(tmp_path))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, to_lines(lines).collect())) == sorted(map(tuple, numbers.collect()))
+    cut = parse_files(lines, with_path=True, bucket_lines=50)
+    order = ["path", "event_seq"]
+    assert whole.count() > 500 and cut.orderBy(*order).collect() == whole.orderBy(*order).collect()

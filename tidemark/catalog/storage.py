@@ -10,7 +10,7 @@ from tidemark.catalog.registry import query, table
 from tidemark.catalog.relational import IMP, docs, imp
 from tidemark.lineage import new_folder
 from tidemark.operators.loglines import classify, to_lines
-from tidemark.sources.sessions import read_sessions
+from tidemark.sources.sessions import read_session_lines, read_sessions
 from tidemark.sources.tables import (
     compact,
     file_count,
@@ -54,6 +54,12 @@ def src_session_files(spark, sf_dir):
     return classify(to_lines(files)).groupBy("kind").agg(F.count("*").alias("n"))
 
 
+@query("src_session_lines", BLOCK_KINDS)
+def src_session_lines(spark, sf_dir):
+    files = read_session_lines(spark, write_session_files(spark, sf_dir))
+    return classify(to_lines(files)).groupBy("kind").agg(F.count("*").alias("n"))
+
+
 @query("text_char_count", "SELECT CAST(sum(length(text) + 1) AS BIGINT) AS n_chars FROM documents")
 def text_char_count(spark, sf_dir):
     folder = new_folder(spark, "texts")

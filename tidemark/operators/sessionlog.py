@@ -198,12 +198,15 @@ def parse_sessions(
     return events_from_lines(to_lines(chunks), bucket_lines, stage)
 
 
-def parse_files(sessions: DataFrame, stage: Stage = written, with_path: bool = False) -> DataFrame:
-    """Parse sessions that are whole files (the file source holds a file in one row of at most 2 GB).
+def parse_files(
+    sessions: DataFrame, stage: Stage = written, with_path: bool = False, bucket_lines: int | None = None
+) -> DataFrame:
+    """Parse sessions that are files, whole ones (a row of at most 2 GB each) or the lines of ``read_session_lines``.
 
-    A file is parsed by itself: its path tells it apart, so files of one name in different folders do not mix.
+    A file is parsed by itself: its path tells it apart, so files of one name in different folders do not mix. Give
+    ``bucket_lines`` where files come as lines, so that no task holds a whole one.
     """
-    events = parse_sessions(sessions.withColumn("session_id", F.col("path")), bucket_lines=None, stage=stage)
+    events = parse_sessions(sessions.withColumn("session_id", F.col("path")), bucket_lines=bucket_lines, stage=stage)
     named = events.withColumn("path", F.col("session_id")).withColumn("session_id", last_path_part(F.col("session_id")))
     return named if with_path else named.drop("path")
 
