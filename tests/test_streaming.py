@@ -130,3 +130,18 @@ def test_attribution_writes_what_arrives_and_ignores_a_clock_far_ahead(spark, tm
     plain, n = answers("plain", 0)
     assert n == 120 and {a[0]: a[2] for a in plain}[500] == 11 * 60 * minute
     assert answers("ahead", 1) == (plain, n)
+
+
+def test_click_counts_keep_one_row_for_each_state(spark, tmp_path):
+    source, target, marks = (str(tmp_path / n) for n in ("in", "out", "log"))
+    kinds = "event_id int, device_id string, ad_id int, ts_us bigint, event_type string"
+    for b in range(3):
+        rows = [(b * 100 + i, f"d{i % 3}", i % 2, b * 1000 + i, ["impression", "click", "conversion"][i % 5 % 3]) for i in range(60)]
+        spark.createDataFrame(rows, kinds).coalesce(1).write.mode("append").parquet(source)
+        stream = stream_files(spark, source, spark.read.parquet(source).schema)
+        jobs.start_click_counts(stream, 10**9, target, marks, shards=2, buckets=4).awaitTermination()
+    assert jobs.read_latest(spark, target).count() <= 3 * 2 * 2
+    every = spark.read.parquet(source).groupBy("device_id", "ad_id").agg(
+        F.count_if(F.expr("event_type = 'impression'")), F.count_if(F.expr("event_type = 'click'")), F.max(F.expr("if(event_type = 'impression', ts_us, null)"))
+    )
+    assert sorted(map(tuple, jobs.read_click_counts(spark, target).collect())) == sorted(map(tuple, every.collect()))

@@ -16,7 +16,6 @@ from tidemark.functions.times import epoch_us
 from tidemark.streaming import alerts, jobs, late, windows
 from tidemark.streaming.fraud import judged_clicks
 from tidemark.streaming.sources import stream_files, stream_table
-from tidemark.streaming.state import click_state, fold_click_state
 
 
 def event_stream(spark, sf_dir):
@@ -150,14 +149,9 @@ FROM tape GROUP BY device_id, ad_id""",
 def stream_click_state(spark, sf_dir):
     target = new_folder(spark, "click-state")
     tape = A.with_identity(ad_tape(event_stream(spark, sf_dir)))
-    state = click_state(tape, ttl_ms=7 * 24 * 3600 * 1000, shards=4)
-
-    def write(rows, batch):
-        rows.write.mode("overwrite").parquet(f"{target}/batch={batch}")
-
     log = new_folder(spark, "click-state-log")
-    jobs.start_batches(state, write, log, mode="update", every=jobs.ONE_BATCH).awaitTermination()
-    return fold_click_state(spark.read.parquet(target))
+    jobs.start_click_counts(tape, 7 * 24 * 3600 * 1000, target, log, shards=4).awaitTermination()
+    return jobs.read_click_counts(spark, target)
 
 
 PASSED = "epoch_us(ts) <= (SELECT epoch_us(max(ts)) // 1000 * 1000 FROM tape) - 86400000000"

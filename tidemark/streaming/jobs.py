@@ -19,6 +19,7 @@ from tidemark.operators.medallion import latest_by_key
 from tidemark.operators.sessionlog import parse_files
 from tidemark.sources.sessions import decode_sessions
 from tidemark.streaming.sources import stream_session_files
+from tidemark.streaming.state import click_state, fold_click_state
 
 
 ONE_BATCH = "one batch"
@@ -71,7 +72,7 @@ def start_ingest(
 
 def start_latest(
     stream: DataFrame, keys: Sequence[str], version: str, target: str, checkpoint: str, every: str | None = None,
-    buckets: int = 64,
+    buckets: int = 64, mode: str = "append",
 ) -> StreamingQuery:
     """Keep the newest row per key. The state is cut into buckets by key hash; a batch reads and writes those its keys lie in.
 
@@ -99,7 +100,7 @@ def start_latest(
             for old in sorted({*versions.get(k, []), batch})[:-2]:
                 drop_folder(spark, f"{target}/bucket={k}/batch={old}")
 
-    return start_batches(stream, write, checkpoint, every=every)
+    return start_batches(stream, write, checkpoint, mode, every)
 
 
 def read_latest(spark: SparkSession, target: str) -> DataFrame:
@@ -109,6 +110,20 @@ def read_latest(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(*(f"{target}/bucket={k}/batch={n}" for k, n in newest.items()))
 
 
+def start_click_counts(
+    tape: DataFrame, ttl_ms: int, target: str, checkpoint: str, shards: int = 64, every: str = ONE_BATCH, buckets: int = 64
+) -> StreamingQuery:
+    """Running touch counts in a table with a row for each birth of a shard's state, not for each update of it."""
+    counts = click_state(tape, ttl_ms, shards).withColumn("touches", F.col("impressions") + F.col("clicks"))
+    keys = ["device_id", "ad_id", "shard", "born"]
+    return start_latest(counts, keys, "touches", target, checkpoint, every, buckets, "update")
+
+
+def read_click_counts(spark: SparkSession, target: str) -> DataFrame:
+    """Counts per (device, ad) as of the last finished batch."""
+    return fold_click_state(read_latest(spark, target))
+
+
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
