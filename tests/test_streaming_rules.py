@@ -80,3 +80,15 @@ def test_alerts_on_unordered_samples_equal_the_batch(spark, tmp_path):
     assert {(r["k"], r["from_us"]) for r in found if r["kind"] == "firing"} == {r[:2] for r in want}
     silent = [(r["k"], r["at_us"] - r["from_us"]) for r in found if r["kind"] == "absent" and r["from_us"] < 1_000_000_000]
     assert silent == [("a", 300_000_000)]
+
+
+def test_rules_keep_no_state_for_each_device(spark, tmp_path):
+    rows = [(i, f"d{i}", 1_000_000 + i, "click", None if i % 2 else 1) for i in range(3000)] + [(None, "d1", 9_000_000_000, "click", 1)]
+    source = str(tmp_path / "in")
+    tape_of(spark, rows).coalesce(1).write.parquet(source)
+    stream = stream_files(spark, source, tape_of(spark, rows[:1]).schema)
+    judged = judged_clicks(stream, "1 minute", buckets=4)
+    query = jobs.start_table_sink(judged, str(tmp_path / "out"), str(tmp_path / "log"))
+    query.awaitTermination()
+    assert max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]) <= 100
+    assert spark.read.parquet(str(tmp_path / "out")).filter("clicks_seen = 1").count() == 3000
