@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.operators import adtape as A
@@ -92,3 +93,37 @@ def test_rules_keep_no_state_for_each_device(spark, tmp_path):
     query.awaitTermination()
     assert max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]) <= 100
     assert spark.read.parquet(str(tmp_path / "out")).filter("clicks_seen = 1").count() == 3000
+
+
+def _one_by_one(known, due, hold, gap):
+    """The rules of alerts.changes for one series, sample by sample."""
+    (last, told), (start, until, n, fired), found = known[:2], known[2:], []
+    for at, _, held in sorted(due):
+        if not told and at > last + gap:
+            found.append(("absent", last + gap, last, last, 0))
+        last, told = at, False
+        if held:
+            start, until, n = (at if n == 0 else start), at, n + 1
+            if not fired and until - start >= hold:
+                fired = True
+                found.append(("firing", at, start, until, n))
+        else:
+            if fired:
+                found.append(("resolved", at, start, until, n))
+            start, until, n, fired = 0, 0, 0, False
+    return (last, told, start, until, n, fired), found
+
+
+def test_changes_of_many_series_equal_one_by_one():
+    rng, names = random.Random(3), [name for name, _ in alerts.STANDING]
+    for hold, gap in ((0, 5), (7, 9), (20, 3)):
+        states = [(0, True, 0, 0, 0, False)] * 40
+        for step in range(6):
+            due = [(k, step * 50 + rng.randrange(50), rng.randrange(3), rng.random() < 0.8) for k in rng.sample(range(40), 25) for _ in range(rng.randrange(1, 12))]
+            standing, found = alerts.changes(pd.DataFrame(states, columns=names), pd.DataFrame(due, columns=["series", "ts_us", "sample_id", "held"]), hold, gap)
+            want = []
+            for k in sorted({d[0] for d in due}):
+                states[k], told = _one_by_one(states[k], [d[1:] for d in due if d[0] == k], hold, gap)
+                want += [(k, *t) for t in told]
+                assert tuple(standing.loc[k, names]) == states[k]
+            assert sorted(found[["series", *alerts.COLUMNS]].itertuples(index=False, name=None)) == sorted(want)
