@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import adtape as A
 from tidemark.operators import metrics as M
-from tidemark.streaming import alerts, jobs, late
+from tidemark.streaming import alerts, jobs, late, state
 from tidemark.streaming.fraud import judged_clicks
 from tidemark.streaming.sources import stream_files
 
@@ -127,3 +127,51 @@ def test_changes_of_many_series_equal_one_by_one():
                 want += [(k, *t) for t in told]
                 assert tuple(standing.loc[k, names]) == states[k]
             assert sorted(found[["series", *alerts.COLUMNS]].itertuples(index=False, name=None)) == sorted(want)
+
+
+class _State:
+    """A state handle in memory that counts calls."""
+
+    def __init__(self):
+        self.value, self.rows, self.calls, self.timers = None, [], 0, []
+
+    def getValueState(self, *_, **__):
+        return self
+
+    getListState = getValueState
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+class _Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_click_state_of_a_bucket_takes_few_calls_and_expires_by_key():
+    handle, counter = _State(), state.TouchCounter(100)
+    counter.init(handle)
+
+    def batch(now, devices):
+        rows = pd.DataFrame({"device_id": devices, "ad_id": None, "shard": 0, "event_type": "impression", "ts_us": now})
+        return pd.concat(counter.handleInputRows((0,), iter([rows, rows]), _Clock(now))).set_index("device_id")
+
+    assert len(batch(1000, [f"d{i}" for i in range(2000)])) == 2000
+    assert handle.calls <= 3
+    again = batch(1060, ["d1", "d1"])
+    assert again.loc["d1", ["impressions", "born"]].tolist() == [6, 1000]
+    later = batch(1120, ["d1", "d2"])  # d2 was idle for its time to live, d1 was not
+    assert later.loc["d1", ["impressions", "born"]].tolist() == [8, 1000]
+    assert later.loc["d2", ["impressions", "born"]].tolist() == [2, 1120]
