@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 import corpus_pipeline
-from tidemark.llm import lm
+from tidemark.llm import lm, ranking
 from tidemark.llm.common import fold_of, words
 
 
@@ -93,3 +93,20 @@ def test_language_model_keeps_large_counts(tmp_path):
     lm.write_shard(str(tmp_path / "s"), lm.Sequence.encode(np.arange(6) * 3) | lm.narrow(n))
     level = lm.Level((str(tmp_path / "s"),), np.array([0]), np.array([0]), 6)
     assert level.counts(np.array([5, 2, 0, 1, 3, 4, 2])).tolist() == [1 << 40, 255, 1, 254, 256, 7, 255]
+
+
+def test_ranking_learns_from_every_label(spark):
+    """The one trait that tells the labels apart is met in a few of many labelled rows, and every row counts for the cut."""
+    shape = "doc_id long, text string"
+    texts = [(i, f"word{i} and some more words, in a line {i % 7}") for i in range(9000)]
+    texts += [(9000 + i, f"word{i} #### $$$$ {i}") for i in range(400)]
+    docs = spark.createDataFrame(texts, shape)
+    labels = spark.createDataFrame([(i, int(i < 9000)) for i, _ in texts], "doc_id long, quality int")
+    model = ranking.fit(docs, labels, block_rows=256)
+    assert model is not None
+    got = {r["doc_id"]: r["predicted"] for r in ranking.score(docs, model).collect()}
+    assert got == {i: int(i < 9000) for i, _ in texts}
+    seen = spark.createDataFrame(texts, shape).join(labels, "doc_id").groupBy("quality").count().collect()
+    assert {r["quality"]: r["count"] for r in seen} == {1: 9000, 0: 400}
+    mean = np.mean([ranking.features([t])[0] for _, t in texts], axis=0)
+    assert np.allclose(model.centre, mean)  # of all rows, not of some

@@ -2,14 +2,15 @@
 
 A preference pair says that one document (quality 1) is better than another (quality 0). The score is linear in a few
 measures of the text, and the logistic loss of the score difference over many pairs fits the weights: only differences
-of features enter. Afterwards the scores are cut at a quantile.
+of features enter. Afterwards the scores are cut where the labels are separated best. All labelled documents take part: they
+are dealt to blocks, pairs are made inside blocks, and the driver adds up what blocks return.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, arrow_schema, col, fold, rows_of, texts
+from tidemark.llm.common import LOWER, arrow_schema, col, fold, rows_of, stage, texts
 from tidemark.llm.toxicity import CUT, keep
 
 SYMBOLS = b"#$%&*+<=>@[\\]^_`{|}~"
@@ -30,6 +31,7 @@ NAMES = (
     "log_words", "word_length", "symbols", "digits", "capitals", "stops", "quotes", "bars", "repeated_neighbours",
     "distinct", "top_word", "lines", "distinct_lines", "exclamations", "long_words", "short_words", "other_bytes", "empty",
 )
+MIXED = 64  # rows of the rarer label that a block should hold
 
 
 def measures(text: str) -> list[float]:
@@ -66,7 +68,7 @@ class Ranking:
     centre: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
-    threshold: float  # the raw score at the chosen quantile; becomes CUT
+    threshold: float  # the raw score of the cut; becomes CUT
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         # Row by row, not as a matrix product: a score must not depend on the texts beside it.
@@ -77,69 +79,155 @@ class Ranking:
         return 1 / (1 + np.exp(-away))
 
 
-def fit_pairs(better: np.ndarray, worse: np.ndarray, steps: int = 400, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
-    """Weights that minimise log(1 + exp(-w (better - worse))) over the pairs; Adam steps on all pairs at once."""
-    d = better - worse
-    weights, first, second = (np.zeros(d.shape[1]) for _ in range(3))
-    for step in range(1, steps + 1):
-        slope = -1 / (1 + np.exp(np.clip(d @ weights, -30, 30)))
-        gradient = d.T @ slope / len(d) + decay * weights
-        first = 0.9 * first + 0.1 * gradient
-        second = 0.999 * second + 0.001 * gradient**2
-        weights -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return weights
+def _blocks(rows: DataFrame, counts: dict[int, int], block_rows: int) -> DataFrame:
+    """Rows ``label, x, n`` dealt to blocks of about ``block_rows``, each block one row of packed arrays.
+
+    The rarer label's rows go to several blocks where one would hold fewer than MIXED of them; ``own`` marks one copy.
+    """
+    blocks = max(1, -(-sum(counts.values()) // block_rows))
+    rare = min(counts, key=counts.get)
+    copies = min(blocks, max(1, -(-MIXED * blocks // counts[rare])))
+    copy = F.explode(F.sequence(F.lit(0), F.when(F.col("label") == rare, copies - 1).otherwise(0)))
+    dealt = rows.withColumn("copy", copy).withColumn("block", F.pmod(F.xxhash64("label", "x", "copy"), F.lit(blocks)).cast("int"))
+
+    def packed(table: pa.Table) -> pa.Table:
+        x = table.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, len(NAMES))
+        label, n, own = (table.column(c).to_numpy() for c in ("label", "n", "copy"))
+        order = np.lexsort((*x.T, own, label))
+        arrays = (x, label.astype(np.int64), n.astype(np.int64), (own == 0).astype(np.int64))
+        cells = [pa.array([np.ascontiguousarray(v[order]).tobytes()], pa.binary()) for v in arrays]
+        return pa.Table.from_arrays([table.column("block")[:1].combine_chunks(), *cells], names=["block", "x", "label", "n", "own"])
+
+    kept = dealt.select("block", "label", "n", "copy", "x")
+    return stage(kept.groupBy("block").applyInArrow(packed, "block int, x binary, label binary, n binary, own binary"), "ranking-blocks")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Block number, features, labels, numbers of copies and whether a row is the block's own."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            block, x, *rest = (c[row].as_py() for c in batch.columns)
+            x = np.frombuffer(x).reshape(-1, len(NAMES))
+            label, n, own = (np.frombuffer(v, np.int64) for v in rest)
+            yield block, np.hstack([x, x**2]), label, n, own == 1
+
+
+def _per_block(blocks: DataFrame, work) -> list[np.ndarray]:
+    """What ``work`` makes of each block, in the order of the blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, *arrays in _unpacked(batches):
+            made = np.asarray(work(block, *arrays), np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([made.tobytes()], pa.binary())], names=["block", "made"])
+
+    found = blocks.mapInArrow(run, "block int, made binary").collect()
+    return [np.frombuffer(bytes(r["made"])) for r in sorted(found, key=lambda r: r["block"])]
 
 
-def threshold_quantile(score: np.ndarray, label: np.ndarray) -> float:
-    """The quantile of the scores that separates the labels with the fewest errors; in a tie the lowest."""
-    order = np.argsort(score, kind="stable")
-    wrong = np.concatenate([[0], np.cumsum(np.where(label[order] == 1, 1, -1))])  # more errors when so many are rejected
-    s = score[order]
-    wrong[1:-1][s[:-1] == s[1:]] = len(s)
-    return int(np.argmin(wrong[:-1])) / len(s)
+def _moments(blocks: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of every feature over all rows."""
 
+    def work(block, x, label, n, own):
+        x, n = x[own], n[own]
+        mean = np.average(x, axis=0, weights=n) if len(n) else np.zeros(x.shape[1])
+        return np.concatenate([[n.sum()], mean, (n[:, None] * (x - mean) ** 2).sum(0)])
 
-def fit(
-    docs: DataFrame, labels: DataFrame, label_col: str = "quality", rows: int = 8000, pairs: int = 40_000, seed: int = 5
-) -> Ranking | None:
-    """Rank at most ``rows`` labelled documents (half of each label where there are so many) by ``pairs`` preferences.
+    found = np.array(_per_block(blocks, work))
+    n, means, squares = found[:, :1], *np.hsplit(found[:, 1:], 2)
+    mean = (n * means).sum(0) / n.sum()
+    return mean, np.sqrt((squares + n * (means - mean) ** 2).sum(0) / n.sum())
 
-    None if the labelled documents do not hold both labels.
+
+def fit_pairs(blocks: DataFrame, centre: np.ndarray, scale: np.ndarray, rounds: int, decay: float = 1e-3, passes: int = 30, seed: int = 5) -> np.ndarray:
+    """Weights that minimise the mean of log(1 + exp(-w (better - worse))) over the pairs; Newton steps, halved where they overshoot.
+
+    In each block every row is in ``rounds`` pairs or more. A pass returns sums of each block.
+    """
+    width = len(centre)
+
+    def sums(weights: np.ndarray):
+        def work(block, x, label, n, own):
+            good, bad = (np.flatnonzero(label == v) for v in (1, 0))
+            if not len(good) or not len(bad):
+                return np.zeros(2 + width + width * width)
+            pairs = rounds * max(len(good), len(bad))
+            rng = np.random.default_rng([seed, block])
+            better, worse = (np.concatenate([rng.permutation(side) for _ in range(-(-pairs // len(side)))])[:pairs] for side in (good, bad))
+            z = np.clip((x - centre) / scale, -8, 8)
+            d = z[better] - z[worse]
+            margin, weight = np.clip(d @ weights, -30, 30), n[better] * n[worse]
+            miss = weight / (1 + np.exp(margin))
+            bend = miss / (1 + np.exp(-margin))
+            return np.concatenate([[weight.sum(), (weight * np.log1p(np.exp(-margin))).sum()], -d.T @ miss, ((d * bend[:, None]).T @ d).ravel()])
+
+        total = np.sum(_per_block(blocks, work), axis=0)
+        pairs = max(total[0], 1)
+        slope = total[2 : 2 + width] / pairs + decay * weights
+        return total[1] / pairs + decay / 2 * weights @ weights, slope, total[2 + width :].reshape(width, width) / pairs + decay * np.eye(width)
+
+    best = np.zeros(width)
+    loss, slope, bend = sums(best)
+    move = np.linalg.solve(bend, slope)
+    for _ in range(passes):
+        if slope @ move < 1e-10:
+            break
+        tried = sums(best - move)
+        if tried[0] > loss:
+            move = move / 2
+            continue
+        best = best - move
+        loss, slope, bend = tried
+        move = np.linalg.solve(bend, slope)
+    return best
+
+
+def threshold_of(blocks: DataFrame, ranking: Ranking, bins: int = 1 << 16) -> float:
+    """The raw score that separates all labels with the fewest errors, of ``bins`` equal steps; in a tie the lowest."""
+    ends = np.array(_per_block(blocks, lambda block, x, *_: (lambda s: [s.min(), s.max()])(ranking.raw(x))))
+    low, high = ends[:, 0].min(), ends[:, 1].max()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, x, label, n, own in _unpacked(batches):
+            raw = ranking.raw(x)[own]
+            at = np.minimum((raw - low) * (bins / max(high - low, 1e-300)), bins - 1).astype(np.int64)
+            gain = np.where(label[own] == 1, n[own], -n[own])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(gain), pa.array(raw)], names=["at", "gain", "raw"])
+
+    found = blocks.mapInArrow(run, "at long, gain long, raw double").groupBy("at")
+    counted = found.agg(F.sum("gain").alias("gain"), F.min("raw").alias("least"), F.max("raw").alias("most")).orderBy("at").collect()
+    # errors made when the bins below are rejected, less those made when none is
+    wrong = np.concatenate([[0], np.cumsum([r["gain"] for r in counted])[:-1]])
+    cut = int(np.argmin(wrong))
+    return (counted[cut - 1]["most"] + counted[cut]["least"]) / 2 if cut else counted[0]["least"] - 1
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rounds: int = 5, block_rows: int = 4096) -> Ranking | None:
+    """Rank all labelled documents by preferences: each is in ``rounds`` pairs or more.
+
+    None if the labelled documents do not hold both labels. Measures of texts are joined with the labels, texts are not shuffled;
+    the driver gets sums of blocks and the counts of 65,536 steps of the score.
     """
-    known = labels.groupBy("doc_id").agg(F.max(col(label_col)).alias("label")).dropna()
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    low, high = (known.filter(F.col("label") == v).orderBy(*order).limit(rows // 2) for v in (0, 1))
-    drawn = texts(docs).dropna(subset=["doc_id"]).join(F.broadcast(low.union(high)), "doc_id")
+    known = labels.groupBy("doc_id").agg(F.max(col(label_col)).cast("int").alias("label")).filter("doc_id IS NOT NULL AND label IN (0, 1)")
+    named = texts(docs).dropna(subset=["doc_id"])
+    id_type = arrow_schema(named.schema).field("doc_id").type
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = features(batch.column("text").to_pylist())
+        for ids, values in rows_of(batches):
+            x = np.array([measures(t) for t in values]).reshape(len(values), len(NAMES))
             flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
-            columns = [batch.column("doc_id"), batch.column("label").cast(pa.int32()), flat]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), flat], names=["doc_id", "x"])
 
-    id_sql = drawn.schema["doc_id"].dataType.simpleString()
-    got = drawn.mapInArrow(measured, f"doc_id {id_sql}, label int, x array<double>").orderBy("doc_id", "x").toArrow()
-    label = np.array(got["label"].to_pylist())
-    if len(set(label.tolist())) < 2:
+    id_sql = named.schema["doc_id"].dataType.simpleString()
+    found = named.mapInArrow(measured, f"doc_id {id_sql}, x array<double>").join(known, "doc_id")
+    rows = stage(found.groupBy("label", "x").agg(F.count("*").alias("n")), "ranking-rows")
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(counts) < 2:
         return None
-    x = np.array(got["x"].to_pylist())
-    centre, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
-    z = np.clip((x - centre) / scale, -8, 8)
-    rng = np.random.default_rng(seed)
-    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    weights = fit_pairs(z[rng.choice(good, pairs)], z[rng.choice(bad, pairs)])
-    raw = z @ weights
-    shares = known.groupBy("label").count().collect()
-    share = {r["label"]: r["count"] for r in shares}
-    # the sample holds the rarer label more often; rows are drawn back to the labels' true shares before the quantile
-    rate = {v: share[v] / max((label == v).sum(), 1) for v in (0, 1)}
-    drawn_rows = np.repeat(np.arange(len(raw)), np.maximum(1, np.round([4 * rate[v] / min(rate.values()) for v in label])).astype(int))
-    quantile = threshold_quantile(raw[drawn_rows], label[drawn_rows])
-    s = np.sort(raw[drawn_rows])
-    at = int(round(quantile * len(s)))
-    threshold = (s[at - 1] + s[at]) / 2 if at else s[0] - 1
-    return Ranking(centre, scale, weights, float(threshold))
+    blocks = _blocks(rows, counts, block_rows)
+    centre, spread = _moments(blocks)
+    scale = np.maximum(spread, 1e-6)
+    ranking = Ranking(centre, scale, fit_pairs(blocks, centre, scale, rounds), 0.0)
+    return replace(ranking, threshold=float(threshold_of(blocks, ranking)))
 
 
 def score(docs: DataFrame, model: Ranking | None) -> DataFrame:
