@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import parse_time
 from tidemark.lineage import unwritten, written
 from tidemark.operators.loglines import to_lines
-from tidemark.operators.sessionlog import parse_files, parse_sessions, with_json_columns
+from tidemark.operators.sessionlog import by_size, parse_files, parse_sessions, with_json_columns
 from tidemark.sources.sessions import read_session_lines, read_sessions
 
 T1, T2 = "07.07.2020_06:38:07", "07.07.2020_06:40:00"
@@ -261,3 +261,66 @@ def test_files_read_in_splits_parse_like_whole_ones(spark, tmp_path):
     cut = parse_files(lines, with_path=True, bucket_lines=50)
     order = ["path", "event_seq"]
     assert whole.count() > 500 and cut.orderBy(*order).collect() == whole.orderBy(*order).collect()
+
+
+def test_sessions_that_fit_a_task_take_one_shuffle(spark):
+    """Beside it only the lines of card forms are grouped; no step joins lines or reads them twice."""
+    chunks = spark.createDataFrame([("a", LOGS["basic"]), ("b", LOGS["card"])], "session_id string, content string")
+    labels = []
+
+    def stage(df, label):
+        labels.append(label)
+        return written(df, label)
+
+    plan = parse_sessions(chunks, stage=stage)._jdf.queryExecution().executedPlan().toString()
+    assert labels == ["lines", "long-sessions", "segmented"]
+    assert plan.count("Exchange hashpartitioning(") == 2 and "Join" not in plan
+
+
+def test_long_sessions_are_split_and_short_ones_are_not(spark):
+    rng = random.Random(7)
+    logs = {"short": random_log(rng), "other": LOGS["reuse"], "long": "\n".join(random_log(rng) for _ in range(8)), None: "junk\n" * 60}
+    chunks = spark.createDataFrame(list(logs.items()), "session_id string, content string")
+    lines = written(to_lines(chunks), "lines")
+    (few, whole), (many, cut) = by_size(lines, 50, written)
+    assert (whole, cut) == (None, 50)
+    assert {r.session_id for r in few.select("session_id").distinct().collect()} == {"short", "other"}
+    assert {r.session_id for r in many.select("session_id").distinct().collect()} == {"long", None}
+    got = {name: [] for name in logs}
+    for row in parse_sessions(chunks, 50).orderBy("session_id", "event_seq").collect():
+        assert row.event_seq == len(got[row.session_id])
+        got[row.session_id].append(
+            (*[row[name] for name in FIELDS], tuple((p.param_id, p.value) for p in row.card_params), tuple(row.result_doc_ids))
+        )
+    assert got == {name: read_line_by_line(text) for name, text in logs.items()}
+
+
+@pytest.mark.parametrize("bucket", [None, 1])
+def test_repeated_lines_answer_together(spark, bucket):
+    """Lines that come twice have one number: both results are accepted, and one form holds all parameters."""
+    text = {0: f"QS {T1} {{a}}\n1 L", 10: f"CARD_SEARCH_START {T2}\n$0 A\nCARD_SEARCH_END\n2 M"}
+    rows = [("s", base, content) for base, content in text.items()] * 2
+    chunks = spark.createDataFrame(rows, "session_id string, line_base bigint, content string")
+    found = parse_sessions(chunks, bucket).collect()
+    assert sorted(kinds(found)) == ["CARD_SEARCH", "QS", "QS"]
+    assert [len(r.card_params) for r in found if r.event_type == "CARD_SEARCH"] == [2]
+
+
+def test_text_is_made_by_many_tasks(spark, tmp_path):
+    """A table of one row group is read by one task; the lines must not be."""
+    from tidemark.bridges import BLOCK, session_chunks
+
+    ts = F.timestamp_seconds(F.lit(1704067200) + F.col("id")).cast("timestamp_ntz")
+    events = spark.range(0, 2000, 1, 1).select(
+        F.col("id").alias("event_id"), ts.alias("ts"), (F.col("id") % 3).alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit('{"k": 5}').alias("props"),
+    )
+    events.write.parquet(str(tmp_path / "events"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        chunks = session_chunks(spark.read.parquet(str(tmp_path / "events"))).filter(F.col("line_base") % BLOCK == 0)
+        rows = chunks.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set(key, "true")
+    assert sum(r["count"] for r in rows) == 2000 and len(rows) == 4

@@ -99,7 +99,9 @@ def session_chunks(events: DataFrame) -> DataFrame:
             )
         ),
     )
-    return event_blocks(events).unionByName(edges)
+    # Text is made and read by as many tasks as there are cores, however few row groups the table is stored in.
+    spread = events.repartition("event_id", "user_id", "ts")
+    return event_blocks(spread).unionByName(edges)
 
 
 # ---------------------------------------------------------------- ad tape

@@ -66,7 +66,9 @@ def classify(lines: DataFrame) -> DataFrame:
         "words",
         F.when(kind.isin(*TIMED, "OPEN_UNTIMED", "PARAM", "RESULTS"), F.split("line", r"\s+")),
     )
-    timed = split.withColumn("token", only(TIMED, word[1])).withColumn("time", parse_time(F.col("token")))
+    # Inlined, the two time forms make the code of this step a method so long that the JVM never compiles any of it.
+    times = F.transform(F.array("token"), parse_time)
+    timed = split.withColumn("token", only(TIMED, word[1])).withColumn("time", times[0])
     bad = kind.isin(*TIMED) & F.col("time").isNull()
     # The one-row generator keeps filters on these fields above it; pushed below, a filter would repeat every regex.
     fields = F.struct(

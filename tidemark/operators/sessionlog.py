@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import last_path_part
@@ -36,29 +36,32 @@ Stage = Callable[[DataFrame, str], DataFrame]
 
 
 def segment(lines: DataFrame, bucket_lines: int | None, stage: Stage) -> DataFrame:
-    """Give every body line its header, the line that closes the card form and the accepted result line.
+    """Give every body line its header, the line that closes the card form and the accepted result line, as far as they were read.
 
-    Both lines are minima of a segment (the lines under one header), so they are aggregated with map-side combine and
-    joined back: a runaway form of any length is split like any skewed join. Lines with nothing pending need neither.
+    Both lines are the first of their kind under a header: a running maximum over (header line, -line number). So all three are
+    folded in the order of lines, and without a split one shuffle by session serves them. A split step reads its input twice,
+    so its input is stored.
     """
-    header = F.when(F.col("kind").isin(*HEADERS), F.struct("line_no", "kind", "time", "query"))
-    headed = running(
-        lines.filter(F.col("kind").isin(*HEADERS, *BODY)),
-        ["session_id"],
-        ["line_no"],
-        [Carry("header", "max", header)],
-        by_line(F.col("line_no"), bucket_lines),
-    ).filter(F.col("kind").isin(*BODY))
-    pending = F.col("header.kind")
-    line_no, kind = F.col("line_no"), F.col("kind")
-    in_segment = F.when(pending.isin("QS", "CARD_START"), F.col("header.line_no"))
-    keyed = stage(headed.withColumn("segment", in_segment), "segments")
-    segments = ["session_id", "segment"]
-    ends = keyed.filter((pending == "CARD_START") & (kind == "CARD_END")).groupBy(*segments).agg(F.min("line_no").alias("card_end"))
-    answers = keyed.filter((kind == "RESULTS") & F.col("segment").isNotNull()).join(ends, segments, "left")
-    awaited = answers.filter((pending == "QS") | (line_no > F.col("card_end")))
-    results = awaited.groupBy(*segments).agg(F.min("line_no").alias("results_at"))
-    return keyed.join(ends.join(results, segments, "full"), segments, "left")
+    line_no, kind, pending = F.col("line_no"), F.col("kind"), F.col("header.kind")
+    split = by_line(line_no, bucket_lines)
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        return df if split is None else stage(df, label)
+
+    def first(df: DataFrame, name: str, found: Column) -> DataFrame:
+        latest = Carry("latest", "max", F.when(found, F.struct("segment", (-line_no).alias("back"))))
+        here = F.when(F.col("latest.segment") == F.col("segment"), -F.col("latest.back"))
+        return running(df, ["session_id"], ["line_no"], [latest], split).withColumn(name, here).drop("latest")
+
+    header = Carry("header", "max", F.when(kind.isin(*HEADERS), F.struct("line_no", "kind", "time", "query")))
+    read = lines.filter(kind.isin(*HEADERS, *BODY))
+    headed = running(read, ["session_id"], ["line_no"], [header], split).filter(kind.isin(*BODY))
+    in_segment = F.when(pending.isin("QS", "CARD_START") & F.col("session_id").isNotNull(), F.col("header.line_no"))
+    keyed = kept(headed.withColumn("segment", in_segment), "segments")
+    in_form = F.col("segment").isNotNull() & (pending == "CARD_START")
+    closed = kept(first(keyed, "card_end", in_form & (kind == "CARD_END")), "closed")
+    awaited = F.col("segment").isNotNull() & ((pending == "QS") | (line_no > F.col("card_end")))
+    return stage(first(closed, "results_at", awaited & (kind == "RESULTS")), "segmented")
 
 
 def emit(lines: DataFrame, segmented: DataFrame) -> DataFrame:
@@ -116,9 +119,13 @@ def emit(lines: DataFrame, segmented: DataFrame) -> DataFrame:
         F.collect_list(F.when(kind == "PARAM", F.struct("line_no", "param.param_id", "param.value")))
     )
     cards = (
-        segmented.filter(is_card & F.col("results_at").isNotNull() & (is_param | is_result))
-        .groupBy("session_id", F.col("results_at").alias("line_no"))
-        .agg(F.max("header.time").alias("event_time"), answer.alias("answer"), form.alias("form"))
+        segmented.filter(is_card & F.col("segment").isNotNull() & (is_param | is_result))
+        .groupBy("session_id", "segment")
+        .agg(
+            F.max("results_at").alias("line_no"), F.max("header.time").alias("event_time"),
+            answer.alias("answer"), form.alias("form"),
+        )
+        .filter(F.col("line_no").isNotNull())
         .select(
             "session_id",
             "line_no",
@@ -142,12 +149,13 @@ def emit(lines: DataFrame, segmented: DataFrame) -> DataFrame:
 def number(emitted: DataFrame, bucket_lines: int | None, stage: Stage) -> DataFrame:
     """Sequence number, time of untimed opens, and the kind of search each open came from.
 
-    Each of the two steps reads its input twice if it splits, so the first is stored then.
+    Without a split both steps are served by one shuffle by session. Each reads its input twice if it splits, so both inputs are
+    stored then.
     """
     split = by_line(F.col("line_no"), bucket_lines)
     is_search = F.col("event_type").isin("QS", "CARD_SEARCH")
     matched = running(
-        emitted,
+        emitted.repartition("session_id") if split is None else stage(emitted, "emitted"),
         ["session_id", "search_id"],
         ["line_no"],
         [Carry("searched", "max", F.when(is_search, F.struct("line_no", "search_kind")))],
@@ -173,18 +181,36 @@ def number(emitted: DataFrame, bucket_lines: int | None, stage: Stage) -> DataFr
     )
 
 
+def by_size(lines: DataFrame, bucket_lines: int | None, stage: Stage) -> list[tuple[DataFrame, int | None]]:
+    """The lines of sessions that fit a task, read without a split, and those of sessions with more than ``bucket_lines`` lines.
+
+    Long sessions are few, at most one in ``bucket_lines`` of all lines; mostly there are none, and nothing is joined.
+    """
+    if bucket_lines is None:
+        return [(lines, None)]
+    sizes = lines.groupBy(F.col("session_id").alias("long_id")).agg(F.count("*").alias("n"))
+    long = stage(sizes.filter(F.col("n") > bucket_lines).select("long_id"), "long-sessions")
+    if long.isEmpty():
+        return [(lines, None)]
+    same = F.col("session_id").eqNullSafe(F.col("long_id"))
+    return [(lines.join(long, same, "left_anti"), None), (lines.join(long, same, "left_semi"), bucket_lines)]
+
+
 def events_from_lines(lines: DataFrame, bucket_lines: int | None, stage: Stage) -> DataFrame:
     # Only a line that may end up malformed has to keep its text.
     may_fail = F.col("kind").isin(*BODY, BAD_TIME, UNKNOWN)
     staged = stage(classify(lines).withColumn("line", F.when(may_fail, F.col("line"))), "lines")
-    emitted = stage(emit(staged, segment(staged, bucket_lines, stage)), "emitted")
-    return number(emitted, bucket_lines, stage).select(
-        "session_id",
-        "event_seq",
-        "event_time",
-        F.to_date("event_time").alias("event_date"),
-        *[name for name in EMITTED if name not in ("session_id", "line_no", "event_time")],
-    )
+    numbered = [
+        number(emit(part, segment(part, split, stage)), split, stage).select(
+            "session_id",
+            "event_seq",
+            "event_time",
+            F.to_date("event_time").alias("event_date"),
+            *[name for name in EMITTED if name not in ("session_id", "line_no", "event_time")],
+        )
+        for part, split in by_size(staged, bucket_lines, stage)
+    ]
+    return numbered[0] if len(numbered) == 1 else numbered[0].unionByName(numbered[1])
 
 
 def parse_sessions(
@@ -192,8 +218,8 @@ def parse_sessions(
 ) -> DataFrame:
     """Session text to event rows.
 
-    Sessions are split into runs of ``bucket_lines`` line numbers. Pass None when each session is one file read as a
-    whole: its size is then bounded by the file reader, and one shuffle per step is enough.
+    A session of up to ``bucket_lines`` lines is folded by one task; longer ones are split into runs of so many line numbers.
+    Pass None when each session is one file read as a whole: its size is then bounded by the file reader.
     """
     return events_from_lines(to_lines(chunks), bucket_lines, stage)
 
