@@ -292,6 +292,13 @@ def test_chunks_match_the_tokenizer(text):
         assert np.frombuffer(got, "<u4").tolist() == known.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["\u0130<", "x\u0130.,", "\u0958!", "\u0130 <", "Stra\u00dfe!", "\u01c5?"])
+def test_marks_that_lowering_makes_join_the_punctuation(text):
+    known = packing.Chunks(tokenizer("word_bpe_49k.json"))
+    (got,) = known.encode_all([text])
+    assert np.frombuffer(got, "<u4").tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=20))
 def test_shortest_pack_first(histogram):

@@ -13,6 +13,7 @@ from __future__ import annotations
 import bisect
 import os
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ class Chunks:
 
     The tokenizer drops white space and its pre-tokens never hold a space or line end, so a text may be cut there. A chunk
     of letters is one pre-token: many are encoded in one call, joined by spaces, and taken apart at tokens that end a
-    word. Letters followed by ASCII punctuation are two pre-tokens. In Latin-1 texts letters are lowered before the
+    word. Letters that stay letters when lowered, followed by ASCII punctuation, are two pre-tokens. In Latin-1 texts letters are lowered before the
     lookup, which the tokenizer does itself and which only makes chunks meet more often.
     """
 
@@ -72,7 +73,7 @@ class Chunks:
         new = chunks.difference(known)
         words = set(filter(str.isalpha, new))
         matches = ((c, PUNCTUATED.fullmatch(c)) for c in new.difference(words))
-        pairs = {c: m.groups() for c, m in matches if m}
+        pairs = {c: m.groups() for c, m in matches if m and all_letters(m[1])}
         words.update(word for word, _ in pairs.values())
         self.learn_words(list(words.difference(known)))
         known.update({m: self.encode(m).tobytes() for m in {m for _, m in pairs.values()}.difference(known)})
@@ -90,6 +91,11 @@ class Chunks:
         return encoded
 
 
+def all_letters(word: str) -> bool:
+    """Whether it is letters for the tokenizer too, in its normal form and lower case: a mark would join the punctuation behind it."""
+    return word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 def lowered(text: str) -> str:
     if not text.isascii():
         try:
