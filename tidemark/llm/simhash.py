@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, col, rows_of, stage, texts, words
+from tidemark.llm.common import arrow_schema, col, rows_of, shuffled, stage, texts, words
 from tidemark.llm.components import components
 
 SEED = 42
@@ -100,13 +100,16 @@ def candidate_keys(distinct: DataFrame) -> DataFrame:
 
 
 def links(distinct: DataFrame, most: int = 2) -> DataFrame:
-    """Pairs (a < b) of distinct fingerprints that differ in at most ``most`` bits (2 or fewer)."""
+    """Pairs (a < b) of distinct fingerprints that differ in at most ``most`` bits (2 or fewer).
+
+    A fingerprint becomes 70 rows, so the keys of a small table are many: they are never broadcast.
+    """
     if not 0 <= most <= 2:
         raise ValueError("the keys find links of at most two differing bits")
     made = candidate_keys(distinct)
     left, right = made.withColumnRenamed("bits", "a"), made.withColumnRenamed("bits", "b")
     differing = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return left.join(right, "key").filter((F.col("a") < F.col("b")) & (differing <= most)).select("a", "b").distinct()
+    return left.join(shuffled(right), "key").filter((F.col("a") < F.col("b")) & (differing <= most)).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, most: int = 2) -> DataFrame:
@@ -120,7 +123,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, most: int = 2) -> DataFrame:
     nodes = stage(marked.groupBy("bits").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     found = components(links(nodes, most), nodes)
     hexadecimal = F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint")
-    return marked.join(found, "bits").select("doc_id", hexadecimal, "component_id")
+    return marked.join(shuffled(found), "bits").select("doc_id", hexadecimal, "component_id")
 
 
 def one_of_each(docs: DataFrame, size: int = 3, most: int = 2) -> DataFrame:
