@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 from conftest import plan_of
 
-from tidemark.llm import simhash
+import corpus_pipeline
+from tidemark.llm import packing, ranking, simhash
+from tidemark.llm.queries import tokenizer
 
 
 @pytest.fixture
@@ -56,3 +58,26 @@ def test_keys_of_few_fingerprints_are_not_broadcast(stored, most_broadcast):
 def test_documents_and_their_components_are_shuffled(stored):
     docs = stored([*enumerate(made_texts(300))], "doc_id long, text string")
     assert not broadcast_sides(simhash.near_duplicates(docs))
+
+
+def test_near_duplicates_stage_needs_no_large_broadcast(spark, sf_dir, stored, most_broadcast):
+    texts = made_texts(3000)
+    docs = stored([*enumerate(texts)], "doc_id long, text string")
+    assert not broadcast_sides(simhash.one_of_each(docs))
+    bits = np.array([simhash.fingerprint(t) for t in texts], np.uint64)
+    near = np.bitwise_count(bits[1::3] ^ bits[2::3]) <= 2
+    most_broadcast("4MB")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()}
+    assert kept == {i for i in range(3000) if i % 3 != 2 or not near[i // 3]}
+
+
+def test_labels_are_not_broadcast(stored, most_broadcast):
+    docs = stored([(i, f"word{i} and more words" if i % 2 else f"#### $$ {i}") for i in range(200)], "doc_id long, text string")
+    labels = stored([(i, i % 2) for i in range(400)], "doc_id long, quality int", "labels")
+    most_broadcast("1MB")  # the least that Spark takes for a table by a number
+    assert {r["doc_id"] for r in ranking.good(docs, labels).collect()} == set(range(1, 200, 2))
+
+
+def test_counts_of_pieces_are_not_broadcast(stored):
+    docs = stored([(i, "word " * (i % 50)) for i in range(200)], "doc_id long, text string")
+    assert "BroadcastHashJoin" not in plan_of(packing.pack(docs, tokenizer("word_bpe_49k.json")))

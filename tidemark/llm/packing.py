@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, rows_of, shuffle_partitions, stage, texts
+from tidemark.llm.common import arrow_schema, rows_of, shuffle_partitions, shuffled, stage, texts
 
 PUNCTUATED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 CHUNK_CHARS = 64  # longer chunks are not kept
@@ -209,7 +209,7 @@ def with_rank(pieces: DataFrame, buckets: int) -> DataFrame:
     inside = F.row_number().over(Window.partitionBy("length", "bucket").orderBy(*order)) - 1
     return (
         dealt.withColumn("inside", inside)
-        .join(before, ["length", "bucket"])
+        .join(shuffled(before), ["length", "bucket"])
         .withColumn("rank", F.col("before") + F.col("inside"))
         .drop("bucket", "inside", "before")
     )

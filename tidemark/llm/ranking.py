@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LOWER, arrow_schema, col, fold, rows_of, stage, texts
+from tidemark.llm.common import LOWER, arrow_schema, col, fold, rows_of, shuffled, stage, texts
 from tidemark.llm.toxicity import CUT, keep
 
 SYMBOLS = b"#$%&*+<=>@[\\]^_`{|}~"
@@ -218,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", rounds:
             yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), flat], names=["doc_id", "x"])
 
     id_sql = named.schema["doc_id"].dataType.simpleString()
-    found = named.mapInArrow(measured, f"doc_id {id_sql}, x array<double>").join(known, "doc_id")
+    found = named.mapInArrow(measured, f"doc_id {id_sql}, x array<double>").join(shuffled(known), "doc_id")
     rows = stage(found.groupBy("label", "x").agg(F.count("*").alias("n")), "ranking-rows")
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:

@@ -135,7 +135,7 @@ def one_of_each(docs: DataFrame, size: int = 3, most: int = 2) -> DataFrame:
     rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered-documents")
     found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), col("text").alias("text")), size, most)
     place = rows.select(ROW, col("doc_id").alias("doc_id"), F.md5(F.coalesce(col("text"), F.lit("")).cast("binary")).alias("digest"))
-    grouped = found.select(F.col("doc_id").alias(ROW), "component_id").join(place, ROW)
+    grouped = found.select(F.col("doc_id").alias(ROW), "component_id").join(shuffled(place), ROW)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", ROW))
     stays = grouped.groupBy("component_id").agg(first[ROW].alias(ROW)).select(ROW)
     return rows.join(stays, ROW, "left_semi").select(*[col(c) for c in docs.columns])
